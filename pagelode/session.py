@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import weakref
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,8 +29,23 @@ def local_session(app: str = "pagelode", cores: int | str = 8, partitions: int =
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, so that Python operators run anywhere."""
+    sc = spark.sparkContext
+    if hasattr(sc, "_pagelode_shipped"):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="pagelode-ship-")) / "pagelode.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, str(Path(root.name) / p.relative_to(root)))
+    sc.addPyFile(str(target))
+    sc._pagelode_shipped = True
+
+
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """One table of a dataset folder laid out as ``<base>/<name>.parquet``."""
+    ship_package(spark)
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
