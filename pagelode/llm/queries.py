@@ -9,6 +9,7 @@ from pagelode.functions.text import alnum_key
 from pagelode.llm.consensus import consensus_survivors
 from pagelode.llm.format_dups import canonical_name, canonical_parts, format_collapsed, format_copies, unordered
 from pagelode.llm.leakage import leaked_items
+from pagelode.llm.ocr_repair import ocr_noise, repair_blocks
 from pagelode.llm.packing import packed_documents
 from pagelode.llm.splitting import split_documents
 from pagelode.llm.sql import ORACLE  # noqa: F401
@@ -52,6 +53,22 @@ def p1_found(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def page_text(spark: SparkSession, base: str) -> DataFrame:
+    """Blocks with their place on the page and whether they were read optically."""
+    method = F.lower(F.coalesce(F.col("extraction_method"), F.lit("")))
+    return table(spark, base, "page_blocks").select(
+        "document_id", "page", "block_id", F.col("bbox.y0").alias("top"), method.rlike(r"ocr|full_page").alias("is_ocr"), F.col("raw_text").alias("text")
+    )
+
+
+def p4_found(spark: SparkSession, base: str) -> DataFrame:
+    return ocr_noise(page_text(spark, base)).select("document_id", "block_id", "line_no", "noise").distinct()
+
+
+def p4_repaired(spark: SparkSession, base: str) -> DataFrame:
+    return repair_blocks(page_text(spark, base))
+
+
 def _p6(spark: SparkSession, base: str) -> tuple[DataFrame, str, list[Column], list[Column]]:
     rows = table(spark, base, "instruction_field_map").select(
         "trace_id", "document_id", "variation", "word_index", "instruction_name", "field_name", "bit_range"
@@ -87,6 +104,8 @@ def p9_pieces(spark: SparkSession, base: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_survivors": p1_survivors,
+    "p4_found": p4_found,
+    "p4_repaired": p4_repaired,
     "p6_found": p6_found,
     "p6_collapsed": p6_collapsed,
     "p7_containers": p7_containers,
