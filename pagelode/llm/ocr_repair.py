@@ -28,14 +28,48 @@ from pagelode.session import materialize
 _MARKS = "-‐¬­"
 _SOFT = "¬­"
 _EDGE_PUNCT = ".,:;()[]{}<>|\"'“”‘’!?*•–—-‐¬­/\\"
-_BREAK = re.compile(rf"(\S*[^\W\d_]\S*?)([{_MARKS}])[ \t\r]*\n[ \t]*([^\W_]\S*)")
+_BREAK = re.compile(rf"[{_MARKS}][ \t\r]*\n[ \t]*(?=[^\W_])")
+_HEAD = re.compile(r"\S*$")
+_NEXT = re.compile(r"\S+")
 _PART = re.compile(r"[-‐]")
 _IDENT = re.compile(r"_|^0[xX]|^[\W\d]+$|/")
-_PIECES = re.compile(r"\s{2,}|\t|\S+")
+_PARTS = re.compile(r"\s{2,}|\t|\s\|\s")
 #: Page number forms, arabic or roman; the number is compared with the page.
 _PAGE_NO = re.compile(r"[^\w]*(?:(?:page|pg|p|seite)[^\w]*)?(?:(\d{1,9})(?:\s*(?:of|/|von)\s*\d+)?|([ivxlc]+))[^\w]*")
 _ROMAN = re.compile(r"(c{0,3})(xc|xl|l?x{0,3})(ix|iv|v?i{0,3})")
-_SEP = "\u001f"
+
+
+@dataclass(frozen=True)
+class OcrRules:
+    """Thresholds; all counts are over the whole corpus."""
+
+    common: int = 20_000  # words kept in every worker to skip what needs no look-up (no effect on results)
+    min_known: int = 5  # occurrences of a word that others may be corrected to
+    ratio: int = 10  # how many times more frequent it must be
+    min_support: int = 3  # different words that must show a confusion of letters alone
+    edge_lines: int = 2  # outermost lines looked at on either edge of a page
+    min_pages: int = 2  # pages of a document on which a running line stands
+    doc_share: float = 0.005  # or this share of its scanned pages, if more
+    corpus_pages: int = 3  # pages of the corpus on which a running line of several documents stands
+    corpus_share: float = 0.001
+
+
+def _key(word: str) -> str:
+    """Lower case, except where capitals stand with digits or signs: those may be identifiers of their own."""
+    return word if word.isupper() and not word.isalpha() else word.lower()
+
+
+def _clean(token: str) -> str:
+    return _key(token.strip(_EDGE_PUNCT))
+
+
+def _roman(text: str) -> int | None:
+    m = _ROMAN.fullmatch(text)
+    if not m or not text:
+        return None
+    values = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
+    ns = [values[c] for c in text]
+    return sum(-a if a < b else a for a, b in zip(ns, [*ns[1:], 0]))
 
 
 @dataclass(frozen=True)
@@ -87,25 +121,37 @@ def _ordinary(word: str) -> bool:
     return len(word) > 1 and not _IDENT.search(word) and any(c.isalpha() for c in word)
 
 
-def _count(words: Counter, col: int, text: str) -> None:
-    """Adds the words of a text to counts of (word, column): 0 sound, 1 scanned; 2 words joined over a line end."""
-    def broken(m: re.Match) -> str:
-        left, right = m[1].strip(_EDGE_PUNCT), m[3].strip(_EDGE_PUNCT)
-        words[_key(_joined(left, right)), 2] += 1
-        return " "
+def _breaks(text: str) -> Iterator[tuple[int, int, int, int]]:
+    """(start of the left part, mark, start and end of the right part) of words broken at line ends."""
+    for m in _BREAK.finditer(text):
+        mark, right = m.start(), m.end()
+        line = text.rfind("\n", 0, mark) + 1
+        left = line + _HEAD.search(text[line:mark]).start()
+        if any(c.isalpha() for c in text[left:mark]) and "\n" not in text[mark + 1 : right].replace("\n", "", 1):
+            yield left, mark, right, _NEXT.match(text, right).end()
+
+
+def _tokens(text: str, joined: Counter) -> list[str]:
+    """Tokens of a text without the parts of broken words, which are counted joined."""
+    if "\n" not in text:
+        return text.split()
+    kept, at = [], 0
+    for left, mark, right, end in _breaks(text):
+        joined[_key(_joined(text[left:mark].strip(_EDGE_PUNCT), text[right:end].strip(_EDGE_PUNCT)))] += 1
+        if left > at:
+            kept.append(text[at:left])
+        at = max(at, end)
+    return text.split() if not at else (" ".join(kept) + " " + text[at:]).split()
 
-    if "\n" in text:
-        text = _BREAK.sub(broken, text)
-    for token, n in Counter(text.split()).items():
-        w = _clean(token)
-        if not _ordinary(w):
-            continue
-        parts = _PART.split(w)
-        if len(parts) > 1:
-            words["-".join(parts), col] += n
-        for p in parts:
-            if _ordinary(p):
-                words[p, col] += n
+
+def _words_of(token: str) -> list[str]:
+    """Words of one token: its parts, and the compound they make."""
+    w = _clean(token)
+    if not _ordinary(w):
+        return []
+    parts = _PART.split(w)
+    words = [p for p in parts if _ordinary(p)]
+    return [*words, "-".join(parts)] if len(parts) > 1 else words
 
 
 def _joined(left: str, right: str) -> str:
@@ -116,20 +162,25 @@ def _joined(left: str, right: str) -> str:
 def word_counts(blocks: DataFrame) -> DataFrame:
     """(word, n_sound, n_ocr, n_joined) over ``text`` of blocks (is_ocr, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
+        raw, joined = (Counter(), Counter()), Counter()
 
         def flush() -> pa.RecordBatch:
             table: dict[str, list[int]] = {}
-            for (w, c), n in words.items():
-                table.setdefault(w, [0, 0, 0])[c] += n
-            words.clear()
+            for col in (0, 1):
+                for token, n in raw[col].items():
+                    for w in _words_of(token):
+                        table.setdefault(w, [0, 0, 0])[col] += n
+                raw[col].clear()
+            for w, n in joined.items():
+                table.setdefault(w, [0, 0, 0])[2] += n
+            joined.clear()
             cols = list(zip(*table.values())) or [[], [], []]
             return pa.RecordBatch.from_arrays([pa.array(list(table), pa.string()), *(pa.array(list(c), pa.int64()) for c in cols)], names=["word", "n_sound", "n_ocr", "n_joined"])
 
         for b in batches:
             for ocr, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                _count(words, 1 if ocr else 0, text)
-            if len(words) > 200_000:
+                raw[1 if ocr else 0].update(_tokens(text, joined))
+            if len(raw[0]) + len(raw[1]) > 300_000:
                 yield flush()
         yield flush()
 
@@ -184,58 +235,56 @@ def corrections(lexicon: DataFrame, rules: OcrRules = OcrRules()) -> DataFrame:
 
 
 def _scan(batches: Iterator[pa.RecordBatch], common: frozenset, edge: int) -> Iterator[pa.RecordBatch]:
-    """Rows to look up: (document_id, page, block_id, line, role, side, pos, word, cut)."""
-    names = ["document_id", "page", "block_id", "line", "role", "side", "pos", "word", "cut"]
-    types = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int32()]
+    """Rows to look up: (document_id, page, block_id, line, role, side, word, cut); for edges ``word`` is the line."""
+    names = ["document_id", "page", "block_id", "line", "role", "side", "word", "cut"]
+    types = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32()]
+    memo: dict[str, tuple[str, ...]] = {}
+
+    def suspicious(token: str) -> tuple[str, ...]:
+        found = memo.get(token)
+        if found is None:
+            if len(memo) > 500_000:
+                memo.clear()
+            w = _clean(token)
+            found = () if w in common or not _ordinary(w) else tuple(q for q in _PART.split(w) if q not in common and _ordinary(q))
+            memo[token] = found
+        return found
+
     for b in batches:
         rows: list[tuple] = []
         for d, p, k, text in zip(*(b.column(i).to_pylist() for i in range(4))):
-            lines = text.split("\n")
-            breaks: dict[int, tuple[str, str, str]] = {}
-            for j in range(len(lines) - 1):
-                s = lines[j].rstrip()
-                if s and s[-1] in _MARKS and (m := _BREAK.match(s.rsplit(None, 1)[-1] + "\n" + lines[j + 1].lstrip())):
-                    breaks[j] = (m[1].strip(_EDGE_PUNCT), m[2], m[3])
-            for j, line in enumerate(lines):
-                ts = line.split()
-                if j in breaks:
-                    ts = ts[:-1]
-                    left, mark, right = breaks[j]
-                    lw, rw = _key(left), _key(right.strip(_EDGE_PUNCT))
+            line_of = None
+            masked = text
+            if "\n" in text:
+                for left, mark, right, end in _breaks(text):
+                    j = text.count("\n", 0, left) + 1
+                    lw, rw = _key(text[left:mark].strip(_EDGE_PUNCT)), _key(text[right:end].strip(_EDGE_PUNCT))
                     lp, rp = _PART.split(lw), _PART.split(rw)
-                    role = "soft" if mark in _SOFT else "piece"
-                    rows.append((d, p, k, j + 1, role, None, 0, lp[-1] + rp[0], len(lp[-1])))
-                    rows.append((d, p, k, j + 1, "left", None, 1, lp[-1], None))
-                    rows.append((d, p, k, j + 1, "right", None, 2, rp[0], None))
-                    rows.append((d, p, k, j + 1, "whole", None, 3, "-".join(lp + rp), None))
-                    for w in [*lp[:-1]]:
-                        if w not in common and _ordinary(w):
-                            rows.append((d, p, k, j + 1, "plain", None, 0, w, None))
-                    for w in [*rp[1:]]:
-                        if w not in common and _ordinary(w):
-                            rows.append((d, p, k, j + 2, "plain", None, 0, w, None))
-                if j - 1 in breaks:
-                    ts = ts[1:]
-                for t in ts:
-                    w = _key(t)
-                    if w in common:
-                        continue
-                    w = _clean(t)
-                    if w in common or not _ordinary(w):
-                        continue
-                    for q in _PART.split(w):
-                        if q not in common and _ordinary(q):
-                            rows.append((d, p, k, j + 1, "plain", None, 0, q, None))
-            full = [j for j, line in enumerate(lines) if line.strip()]
+                    rows.append((d, p, k, j, "soft" if text[mark] in _SOFT else "piece", None, lp[-1] + rp[0], len(lp[-1])))
+                    rows.append((d, p, k, j, "left", None, lp[-1], None))
+                    rows.append((d, p, k, j, "right", None, rp[0], None))
+                    rows.append((d, p, k, j, "whole", None, "-".join(lp + rp), None))
+                    rows += [(d, p, k, j, "plain", None, w, None) for w in lp[:-1] if w not in common and _ordinary(w)]
+                    rows += [(d, p, k, j + 1, "plain", None, w, None) for w in rp[1:] if w not in common and _ordinary(w)]
+                    cut = masked[left:end]
+                    masked = masked[:left] + "".join("\n" if c == "\n" else " " for c in cut) + masked[end:]
+            odd = {t: s for t in set(masked.split()) if (s := suspicious(t))}
+            if odd:
+                for j, line in enumerate(masked.split("\n"), 1):
+                    for t in line.split():
+                        if t in odd:
+                            rows += [(d, p, k, j, "plain", None, w, None) for w in odd[t]]
+            line_of = text.split("\n")
+            full = [j for j, line in enumerate(line_of) if line and not line.isspace()]
             sides: dict[int, str] = {}
             for i, j in enumerate(full[:edge]):
                 sides[j] = f"T{i}"
-            for i, j in enumerate(full[::-1][:edge]):
+            for i, j in enumerate(full[: -edge - 1 : -1]):
                 sides[j] = sides.get(j, "") + f"B{i}"
             for j, side in sides.items():
-                if len(lines[j]) <= 400:
-                    for i, piece in enumerate(_PIECES.findall(lines[j].strip())):
-                        rows.append((d, p, k, j + 1, "edge", side, i, piece, None))
+                line = line_of[j].strip()
+                if len(line) <= 400 and (line[-1] not in ".,:;" or any(_PAGE_NO.fullmatch(x.strip().lower()) for x in _PARTS.split(line))):
+                    rows.append((d, p, k, j + 1, "edge", side, line, None))
         cols = list(zip(*rows)) or [[]] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=names)
 
@@ -261,7 +310,7 @@ def ocr_noise(blocks: DataFrame, rules: OcrRules = OcrRules()) -> DataFrame:
     scanned = ok.filter("is_ocr AND text <> ''").select("document_id", "page", "block_id", "text")
     looked = scanned.mapInArrow(
         lambda it: _scan(it, common.value, edge),
-        "document_id string, page int, block_id string, line bigint, role string, side string, pos int, word string, cut int",
+        "document_id string, page int, block_id string, line bigint, role string, side string, word string, cut int",
     )
     looked = materialize(looked, "lookups")
     key = ["document_id", "page", "block_id", "line"]
@@ -292,9 +341,9 @@ def ocr_noise(blocks: DataFrame, rules: OcrRules = OcrRules()) -> DataFrame:
     broken = decided.filter("hyphen")
     compound = decided.filter("NOT hyphen")
     hyphens = broken.select("document_id", "page", "block_id", here.alias("line_no"), F.lit("hyphen").alias("noise"), F.col("j.word").alias("word"), F.col("j.fix").alias("fix"))
-    plain = looked.filter("role = 'plain'").join(fixes, "word").select(
+    plain = materialize(looked.filter("role = 'plain'").join(fixes, "word").select(
         "document_id", "page", "block_id", here.alias("line_no"), F.lit("misread").alias("noise"), "word", "fix"
-    )
+    ).distinct(), "misread")
     misread = (
         plain.unionByName(mis(broken.filter("j.at < j.cut"), "j", here))
         .unionByName(mis(broken.filter("j.at + j.seg > j.cut"), "j", after))
@@ -302,29 +351,48 @@ def ocr_noise(blocks: DataFrame, rules: OcrRules = OcrRules()) -> DataFrame:
         .unionByName(mis(compound, "r", after))
     )
 
-    edges = _edge_noise(ok, looked.filter("role = 'edge'"), fixes, rules)
+    edges = _edge_noise(ok, looked.filter("role = 'edge'"), plain, rules)
     return hyphens.unionByName(misread).unionByName(edges).distinct()
 
 
-def _edge_noise(blocks: DataFrame, looked: DataFrame, fixes: DataFrame, rules: OcrRules) -> DataFrame:
+def _edge_parts(lines: pd.Series, repairs: pd.Series) -> pd.Series:
+    """Parts of edge lines, corrected and in lower case, each with the page number it may be (or null)."""
+    out = []
+    for line, rep in zip(lines, repairs):
+        fixes = {} if rep is None else {r["word"]: r["fix"] for r in rep}
+        parts = []
+        for part in _PARTS.split(line):
+            ws = part.split()
+            if fixes:
+                ws = [w.replace(c, fixes[k]) if (k := _key(c := w.strip(_EDGE_PUNCT))) in fixes else w for w in ws]
+            t = " ".join(ws).lower()
+            if t:
+                m = _PAGE_NO.fullmatch(t)
+                parts.append({"part": t, "number": None if not m else int(m[1]) if m[1] else _roman(m[2])})
+        out.append(parts)
+    return pd.Series(out)
+
+
+_edge_udf = F.pandas_udf(_edge_parts, T.ArrayType(T.StructType([T.StructField("part", T.StringType()), T.StructField("number", T.LongType())])))
+
+
+def _edge_noise(blocks: DataFrame, looked: DataFrame, misread: DataFrame, rules: OcrRules) -> DataFrame:
     """Running lines and page numbers among the outermost lines of pages, compared in corrected form."""
     page = ["document_id", "page"]
-    key = [*page, "block_id", "line", "side"]
     extent = blocks.filter(F.length(F.trim("text")) > 0).groupBy(*page).agg(
         F.min(F.struct("top", "block_id")).alias("_first"), F.max(F.struct("top", "block_id")).alias("_last")
     ).select(F.col("document_id").alias("_d"), F.col("page").alias("_p"), F.col("_first.block_id").alias("first"), F.col("_last.block_id").alias("last"))
     at_edge = looked.join(extent, F.col("document_id").eqNullSafe(F.col("_d")) & F.col("page").eqNullSafe(F.col("_p"))).filter(
         "(side LIKE '%T%' AND block_id = first) OR (side LIKE '%B%' AND block_id = last)"
     )
-    bare = F.regexp_replace("word", r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
-    bare = F.when((bare == F.upper(bare)) & bare.rlike(r"[^\p{L}]"), bare).otherwise(F.lower(bare))
-    fixed = at_edge.withColumn("_b", bare).join(fixes.select(F.col("word").alias("_b"), "fix"), "_b", "left")
-    piece = F.when(F.col("word").rlike(r"^(\s+|\|)$"), F.lit(_SEP)).otherwise(F.coalesce("fix", F.lower("word")))
-    lines = fixed.groupBy(*key).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("pos", piece.alias("w")))), lambda x: x["w"]), " ").alias("text")
+    line = ["document_id", "block_id", "line"]
+    # A line holds few words, so its repairs are a short list.
+    repairs = misread.groupBy("document_id", "block_id", F.col("line_no").alias("line")).agg(F.collect_list(F.struct("word", "fix")).alias("_rep"))
+    lines = at_edge.select(*page, "block_id", "line", F.col("word").alias("text")).join(repairs, line, "left")
+    parts = lines.select(*page, "block_id", "line", F.explode(_edge_udf("text", "_rep")).alias("_x")).select(
+        *page, "block_id", "line", "_x.part", (F.col("_x.number") - F.col("page")).alias("shift")
     )
-    parts = lines.select(*key, F.explode(F.split("text", _SEP)).alias("part")).withColumn("part", F.trim("part")).filter("part <> ''")
-    parts = parts.withColumn("shift", page_value("part") - F.col("page"))
+    parts = materialize(parts, "edges")
     # Printed numbers may be shifted against the page count, by the same amount all over a document.
     shifts = parts.filter("shift IS NOT NULL").groupBy("document_id", "shift").agg(F.count_distinct("page").alias("n"))
     best = shifts.groupBy("document_id").agg(F.max_by("shift", F.struct("n", -F.abs(F.col("shift")))).alias("main"))
@@ -333,7 +401,7 @@ def _edge_noise(blocks: DataFrame, looked: DataFrame, fixes: DataFrame, rules: O
 
     titles = parts.filter(~F.col("is_number") & F.col("part").rlike(r"\p{L}") & ~F.col("part").rlike(r"[.,:;]$"))
     spot = F.struct("document_id", "page")
-    pages = looked.groupBy("document_id").agg(F.count_distinct("page").alias("doc_pages"))
+    pages = blocks.filter("is_ocr").groupBy("document_id").agg(F.count_distinct("page").alias("doc_pages"))
     in_doc = titles.groupBy("document_id", "part").agg(F.count_distinct("page").alias("n_doc"))
     in_all = titles.groupBy("part").agg(F.count_distinct(spot).alias("n_all"))
     all_pages = pages.agg(F.coalesce(F.sum("doc_pages"), F.lit(0)).alias("n")).first()["n"]
