@@ -84,10 +84,15 @@ def type_id_for_width(width: Column | str) -> Column:
     return F.when(w <= 0, "uint4").when(w <= 64, F.concat(F.lit("uint"), w.cast("string"))).otherwise("uint_wide")
 
 
+def _all_ones(width: Column) -> Column:
+    """2^width - 1 for widths below 63."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.least(width, F.lit(62)).cast("int")) - 1
+
+
 def domain_for_width(width: Column | str) -> Column:
     """``0..2^w-1`` written out below 63 bits, symbolic from there; no width counts as 4 bits."""
     w = F.when(_c(width) <= 0, 4).otherwise(_c(width)).cast("int")
-    small = F.concat(F.lit("0.."), (F.shiftleft(F.lit(1).cast("bigint"), F.least(w, F.lit(62))) - 1).cast("string"))
+    small = F.concat(F.lit("0.."), _all_ones(w).cast("string"))
     return F.when(w < 63, small).otherwise(F.concat(F.lit("0..2^"), w.cast("string"), F.lit("-1")))
 
 
@@ -129,50 +134,37 @@ def bits_in(cell: Column) -> Column:
 
 
 def loose_field(line: Column | str) -> Column:
-    """First ``IDENT bits`` of a line as struct (field_name, bit_range, row_confidence); null without one."""
+    """First ``IDENT bits`` of a line as struct (field_name, bit_range, row_confidence); null without one.
+
+    Confidence is 0.42 for a range and 0.38 for a lone number.
+    """
     s = _c(line)
-    name, bits = F.regexp_extract(s, LOOSE_LINE, 1), F.regexp_replace(F.regexp_extract(s, LOOSE_LINE, 2), r"\s", "")
+    bits = F.regexp_replace(F.regexp_extract(s, LOOSE_LINE, 2), r"\s", "")
     conf = F.when(F.contains(bits, F.lit(":")), 0.42).otherwise(0.38)
-    return F.when(name != "", F.struct(name.alias("field_name"), bits.alias("bit_range"), conf.alias("row_confidence")))
+    return F.when(s.rlike(LOOSE_LINE), F.struct(F.regexp_extract(s, LOOSE_LINE, 1).alias("field_name"), bits.alias("bit_range"), conf.alias("row_confidence")))
 
 
-def field_row(cells: Column, field_at: Column, bits_at: Column, word_at: Column) -> Column:
-    """One table row as struct (field_name, bit_range, word_index, row_confidence); null if it holds no field.
+def row_field_name(cells: Column, mapped: Column, field_at: Column) -> Column:
+    """Name cell of a table row: the mapped one, else the first; null unless it is an identifier."""
+    name = F.coalesce(F.get(cells, F.when(mapped, field_at - 1).otherwise(0)), F.lit(""))
+    return F.when(name.rlike(_FIELD_NAME), name)
 
-    With both columns known the mapped cells count (0.78); otherwise the first cell names the field and
-    the other cells give a range (0.62) or a lone number (0.48).
-    """
-    at = lambda i: F.coalesce(F.get(cells, i - 1), F.lit(""))
-    word = F.coalesce(F.regexp_extract(at(word_at), r"([0-9]{1,9})", 1).try_cast("int"), F.lit(0))
-    has_map = (field_at > 0) & (bits_at > 0)
+
+def row_bits_text(cells: Column, mapped: Column, bits_at: Column) -> Column:
+    """Where a table row's bits are looked for: the mapped cell, else all cells after the first."""
     rest = F.array_join(F.slice(cells, F.lit(2), F.greatest(F.size(cells) - 1, F.lit(0))), " ")
-    name = F.when(has_map, at(field_at)).otherwise(at(F.lit(1)))
-    bits = bits_in(F.when(has_map, at(bits_at)).otherwise(rest))
-    conf = F.when(has_map, 0.78).when(F.contains(bits, F.lit(":")), 0.62).otherwise(0.48)
-    row = F.struct(
-        name.alias("field_name"), bits.alias("bit_range"),
-        F.when(has_map & (word_at > 0), word).otherwise(0).alias("word_index"), conf.alias("row_confidence"),
-    )
-    return F.when(name.rlike(_FIELD_NAME) & (bits != ""), row)
+    return F.when(mapped, F.coalesce(F.get(cells, bits_at - 1), F.lit(""))).otherwise(rest)
 
 
-def table_fields(text: Column | str) -> Column:
-    """All field rows of a table text as an array, header recognised by either column and left out."""
-    rows = F.filter(F.transform(split_lines(text), split_row), lambda r: F.exists(r, lambda x: x != ""))
-    head = F.coalesce(F.get(rows, 0), F.array().cast("array<string>"))
-    f, b, w = header_column(head, "field"), header_column(head, "bits"), header_column(head, "word")
-    has_head = (f > 0) | (b > 0)
-    body = F.when(has_head, F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0)))).otherwise(rows)
-    parsed = F.transform(body, lambda r: field_row(r, F.when(has_head, f).otherwise(0), F.when(has_head, b).otherwise(0), F.when(has_head, w).otherwise(0)))
-    return F.filter(parsed, lambda x: x.isNotNull())
+def row_confidence(mapped: Column, bits: Column) -> Column:
+    """0.78 with both columns known, 0.62 for a range elsewhere, 0.48 for a lone number."""
+    return F.when(mapped, 0.78).when(F.contains(bits, F.lit(":")), 0.62).otherwise(0.48)
 
 
-def loose_fields(text: Column | str) -> Column:
-    """All loose fields of a plain text as an array of the same struct as :func:`table_fields`."""
-    parsed = F.filter(F.transform(split_lines(text), loose_field), lambda x: x.isNotNull())
-    return F.transform(
-        parsed, lambda x: F.struct(x["field_name"].alias("field_name"), x["bit_range"].alias("bit_range"), F.lit(0).alias("word_index"), (x["row_confidence"] * 0.85).alias("row_confidence"))
-    )
+def row_word(cells: Column, mapped: Column, word_at: Column) -> Column:
+    """Word index of a table row: the first number of its mapped word cell, else 0."""
+    cell = F.coalesce(F.get(cells, word_at - 1), F.lit(""))
+    return F.coalesce(F.when(mapped & (word_at > 0), F.regexp_extract(cell, r"([0-9]{1,9})", 1).try_cast("int")), F.lit(0))
 
 
 # --- domains and constraints ---------------------------------------------------------------------------
@@ -235,7 +227,7 @@ def canonical_interval(values: Column | str) -> Column:
     a, b = val(F.regexp_extract(s, pat, 1)), val(F.regexp_extract(s, pat, 2))
     bits = F.regexp_extract(s, r"^([0-9]{1,2})\s*-?\s*bits?(?:\s+unsigned)?$", 1).try_cast("int")
     return F.when(s.rlike(pat), F.concat_ws("..", F.least(a, b).cast("string"), F.greatest(a, b).cast("string"))).when(
-        bits.isNotNull() & bits.between(1, 62), F.concat(F.lit("0.."), (F.shiftleft(F.lit(1).cast("bigint"), F.least(bits, F.lit(62))) - 1).cast("string"))
+        bits.isNotNull() & bits.between(1, 62), F.concat(F.lit("0.."), _all_ones(bits).cast("string"))
     )
 
 
@@ -254,13 +246,14 @@ def instruction_node_id(name: Column | str, variation: Column | str, opcode: Col
 
 
 def text_confidence(page_chars: Column, block_chars: Column) -> Column:
-    local = F.when(block_chars > 0, F.least(F.lit(1.0), block_chars / 400.0)).otherwise(0.0)
-    raw = 0.72 + 0.13 * F.least(F.lit(1.0), page_chars / 1500.0) + 0.15 * local
-    return F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw)), 4)
+    """0.72 + 0.13·min(1, page/1500) + 0.15·min(1, block/400), rounded to 4 in whole numbers, half up."""
+    page, block = F.least(page_chars.cast("bigint"), F.lit(1500)), F.greatest(F.lit(0), F.least(block_chars.cast("bigint"), F.lit(400)))
+    return F.floor((432_030 + 52 * page + 225 * block) / 60) / 10_000
 
 
 def table_confidence(chars: Column) -> Column:
-    return F.when(chars <= 0, 0.55).otherwise(F.round(F.least(F.lit(0.98), 0.78 + 0.2 * F.least(F.lit(1.0), chars / 800.0)), 4))
+    """0.55 without text, else 0.78 + 0.2·min(1, chars/800), at most 0.98, rounded to 4 half up."""
+    return F.when(chars <= 0, 0.55).otherwise(F.floor((15_601 + 5 * F.least(chars.cast("bigint"), F.lit(800))) / 2) / 10_000)
 
 
 def image_confidence() -> Column:

@@ -122,21 +122,35 @@ def reading_order() -> list[Column]:
     return [F.col("page"), F.col("bbox.y0"), F.col("bbox.x0"), F.col("trace_id")]
 
 
+def running_by_page(blocks: DataFrame, within: list[Column], size: Column, out: str) -> DataFrame:
+    """Adds ``out``, the running sum of ``size`` over a document in the order of its pages and, on a page, of ``within``.
+
+    A page is summed for itself and moved by the sum of the pages before it, so that a document with a third of all
+    rows is ordered page by page in many tasks; only its page sums meet in one. Missing pages come first.
+    """
+    b = blocks.withColumns({"_pg": F.coalesce("page", F.lit(0)), "_size": size.cast("bigint")})
+    on_page = Window.partitionBy("document_id", "_pg").orderBy(*within).rowsBetween(Window.unboundedPreceding, 0)
+    sums = b.groupBy("document_id", "_pg").agg(F.sum("_size").alias("_n"))
+    before = Window.partitionBy("document_id").orderBy("_pg").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("document_id", "_pg", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    inner = b.withColumn("_r", F.sum("_size").over(on_page))
+    return inner.join(offsets, ["document_id", "_pg"]).withColumn(out, F.col("_r") + F.col("_o")).drop("_pg", "_size", "_r", "_o")
+
+
 def reading_position(blocks: DataFrame) -> DataFrame:
-    """Adds ``read_pos`` (from 0) within the document, without sorting the whole table."""
-    w = Window.partitionBy("document_id").orderBy(*reading_order())
-    return blocks.withColumn("read_pos", F.row_number().over(w) - 1)
+    """Adds ``read_pos`` (from 0) within the document."""
+    out = running_by_page(blocks, [F.col("bbox.y0"), F.col("bbox.x0"), F.col("trace_id")], F.lit(1), "read_pos")
+    return out.withColumn("read_pos", F.col("read_pos") - 1)
 
 
 def within_budget(blocks: DataFrame, budget: int = 100_000) -> DataFrame:
     """Blocks whose pieces, in prompt order, stay within the budget of characters; blank ones take none.
 
-    The running sum is kept per document; it stops at the first overflow, since pieces are never negative.
+    A prefix: the running sum only grows, since pieces are never negative.
     """
     piece = S.block_prompt(F.col("page"), F.col("block_id"), F.col("block_type"), F.col("raw_text"))
     size = F.when(piece == "", 0).otherwise(F.length(piece) + 1)
-    w = Window.partitionBy("document_id").orderBy(*prompt_order(), "trace_id").rowsBetween(Window.unboundedPreceding, 0)
-    out = blocks.withColumn("piece", piece).withColumn("used_chars", F.sum(size).over(w))
+    out = running_by_page(blocks, [*prompt_order()[1:], F.col("trace_id")], size, "used_chars").withColumn("piece", piece)
     return out.filter((F.col("piece") != "") & (F.col("used_chars") <= budget))
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelode.functions import scalars as S
-from pagelode.functions.text import blank_to_null, strip
+from pagelode.functions.text import blank_to_null, split_lines, strip
+from pagelode.operators.blocks import running_by_page
 
 OK_CONFIDENCE = 0.55
 
@@ -19,16 +20,32 @@ def evidence_pages(refs: str = "source_refs"):  # noqa: ANN201
 def parsed_fields(blocks: DataFrame) -> DataFrame:
     """Fields found in blocks: block columns with ``block_idx`` (all blocks counted), ``field_idx`` and the field's columns.
 
-    Tables are read by rows and columns, other text by its lines; blocks without text count but give nothing.
+    Tables are read by rows and columns (a first row that names either column is a header), other text by its lines;
+    blocks without text count but give nothing. Each step is a column of its own, so nothing is parsed twice.
     """
-    w = Window.partitionBy("document_id").orderBy("page", "block_id", "trace_id")
-    numbered = blocks.withColumn("block_idx", F.row_number().over(w) - 1)
-    some = numbered.filter(blank_to_null("raw_text").isNotNull())
-    found = F.when(F.col("block_type") == "table", S.table_fields("raw_text")).when(
-        F.col("block_type").isin("text", "equation", "image"), S.loose_fields("raw_text")
-    )
-    e = some.select("document_id", "page", "block_id", "block_type", "block_idx", F.posexplode(found).alias("field_idx", "f"))
-    return e.select("document_id", "page", "block_id", "block_type", "block_idx", "field_idx", "f.field_name", "f.bit_range", "f.word_index", "f.row_confidence")
+    c = F.col
+    numbered = running_by_page(blocks, [c("block_id"), c("trace_id")], F.lit(1), "block_idx").withColumn("block_idx", c("block_idx") - 1)
+    keep = ["document_id", "page", "block_id", "block_type", "block_idx"]
+    some = numbered.filter(blank_to_null("raw_text").isNotNull()).select(*keep, split_lines("raw_text").alias("lines"))
+
+    t = some.filter("block_type = 'table'").withColumn("lines", F.filter("lines", lambda x: strip(x) != ""))
+    t = t.withColumn("head", S.split_row(F.coalesce(F.get("lines", 0), F.lit(""))))
+    t = t.withColumns({k: S.header_column(c("head"), k) for k in ("field", "bits", "word")})
+    t = t.select(*keep, "field", "bits", "word", F.posexplode("lines").alias("line_no", "line")).filter("line_no > 0 OR (field = 0 AND bits = 0)")
+    mapped = (c("field") > 0) & (c("bits") > 0)
+    t = t.withColumn("cells", S.split_row("line")).withColumn("mapped", mapped)
+    t = t.withColumns({"field_name": S.row_field_name(c("cells"), c("mapped"), c("field")), "bits_text": S.row_bits_text(c("cells"), c("mapped"), c("bits"))})
+    # A header with only one of the columns is dropped, but does not map the rows below it.
+    t = t.filter("field_name IS NOT NULL").withColumn("bit_range", S.bits_in(c("bits_text"))).filter("bit_range <> ''")
+    t = t.select(*keep, "line_no", "field_name", "bit_range", S.row_word(c("cells"), c("mapped"), c("word")).alias("word_index"), S.row_confidence(c("mapped"), c("bit_range")).alias("row_confidence"))
+
+    x = some.filter("block_type IN ('text', 'equation', 'image')").select(*keep, F.posexplode("lines").alias("line_no", "line"))
+    x = x.filter(c("line").rlike(S.LOOSE_LINE)).withColumn("f", S.loose_field("line"))
+    x = x.select(*keep, "line_no", "f.field_name", "f.bit_range", F.lit(0).alias("word_index"), (c("f.row_confidence") * 0.85).alias("row_confidence"))
+
+    w = Window.partitionBy("document_id", "page", "block_id", "block_idx").orderBy("line_no")
+    out = t.unionByName(x).withColumn("field_idx", F.row_number().over(w) - 1)
+    return out.select(*keep, "field_idx", "field_name", "bit_range", "word_index", "row_confidence")
 
 
 def candidates_for_pages(pages: DataFrame, catalog: DataFrame, reach: int = 1) -> DataFrame:

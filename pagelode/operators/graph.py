@@ -23,7 +23,9 @@ def ontology_nodes(constraints: DataFrame, instructions: DataFrame, datatypes: D
     """Nodes (id, type, props): of several with one id the last wins. ``instructions`` and ``constraints`` carry ``pos``."""
     spark = constraints.sparkSession
     root = spark.createDataFrame([(ip,)], "n string")
-    n = F.format_string("%020d", F.col("pos").cast("bigint"))
+    def at(df: DataFrame):  # noqa: ANN202
+        return F.col("pos") if dict(df.dtypes)["pos"] == "string" else F.lpad(F.col("pos").cast("string"), 20, "0")
+
     fields = datatypes.select(strip(F.col("field_name")).alias("f")).filter("f <> ''").distinct()
     types = registry.select(strip(F.col("type_id")).alias("t")).filter("t <> ''").distinct()
     units = instructions.select(_unit().alias("u")).distinct()
@@ -32,12 +34,12 @@ def ontology_nodes(constraints: DataFrame, instructions: DataFrame, datatypes: D
         _node(root, "IP", 0, F.lit(f"IP:{ip}"), F.lit(""), ip_name=F.col("n"))
         .unionByName(_node(units, "ExecutionUnit", 1, F.concat(F.lit("EU:"), "u"), F.col("u"), name=F.col("u")))
         .unionByName(_node(
-            instructions, "Instruction", 2, S.instruction_node_id("instruction_name", "variation", "opcode_value"), n,
+            instructions, "Instruction", 2, S.instruction_node_id("instruction_name", "variation", "opcode_value"), at(instructions),
             instruction_name=F.upper(strip(F.col("instruction_name"))), variation=S.normalize_variation("variation"), opcode_value=F.col("opcode_value"),
         ))
         .unionByName(_node(fields, "Field", 3, F.concat(F.lit("Field:"), F.upper("f")), F.col("f"), name=F.col("f")))
         .unionByName(_node(types, "DataType", 4, F.concat(F.lit("DT:"), "t"), F.col("t"), type_id=F.col("t")))
-        .unionByName(_node(cons, "Constraint", 5, F.concat(F.lit("Constraint:"), strip(F.col("constraint_id"))), n, constraint_id=strip(F.col("constraint_id"))))
+        .unionByName(_node(cons, "Constraint", 5, F.concat(F.lit("Constraint:"), strip(F.col("constraint_id"))), at(cons), constraint_id=strip(F.col("constraint_id"))))
     )
     return last_wins(nodes, ["id"], "pos").select("id", "type", "props", "pos")
 
