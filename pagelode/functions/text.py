@@ -39,9 +39,8 @@ def alnum_key(c: Column | str) -> Column:
 
 def split_lines(c: Column | str) -> Column:
     """Lines of a text as ``str.splitlines`` gives them (no trailing empty line)."""
-    parts = F.split(_col(c), _LINE_ENDS, -1)
-    last_empty = F.element_at(parts, -1) == ""
-    return F.when(last_empty, F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    text = F.regexp_replace(_col(c), f"(?:{_LINE_ENDS})\\z", "")
+    return F.when(_col(c) == "", F.array().cast("array<string>")).otherwise(F.split(text, _LINE_ENDS, -1))
 
 
 def squeeze(c: Column | str) -> Column:

@@ -17,6 +17,14 @@ def evidence_pages(refs: str = "source_refs"):  # noqa: ANN201
     return F.array_distinct(F.filter(F.transform(F.coalesce(F.col(refs), F.array()), lambda r: r["page"]), lambda p: p >= 1))
 
 
+def computed_once(df: DataFrame, **columns) -> DataFrame:  # noqa: ANN003
+    """Adds columns through a generator, behind which the optimizer neither repeats nor moves their expressions.
+
+    Filters on a projected column are otherwise pushed below it with the expression written out, once per use.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*(v.alias(k) for k, v in columns.items())))))
+
+
 def parsed_fields(blocks: DataFrame) -> DataFrame:
     """Fields found in blocks: block columns with ``block_idx`` (all blocks counted), ``field_idx`` and the field's columns.
 
@@ -29,18 +37,17 @@ def parsed_fields(blocks: DataFrame) -> DataFrame:
     some = numbered.filter(blank_to_null("raw_text").isNotNull()).select(*keep, split_lines("raw_text").alias("lines"))
 
     t = some.filter("block_type = 'table'").withColumn("lines", F.filter("lines", lambda x: strip(x) != ""))
-    t = t.withColumn("head", S.split_row(F.coalesce(F.get("lines", 0), F.lit(""))))
-    t = t.withColumns({k: S.header_column(c("head"), k) for k in ("field", "bits", "word")})
+    t = computed_once(t, head=S.split_row(F.coalesce(F.get("lines", 0), F.lit(""))))
+    t = computed_once(t, **{k: S.header_column(c("head"), k) for k in ("field", "bits", "word")})
     t = t.select(*keep, "field", "bits", "word", F.posexplode("lines").alias("line_no", "line")).filter("line_no > 0 OR (field = 0 AND bits = 0)")
-    mapped = (c("field") > 0) & (c("bits") > 0)
-    t = t.withColumn("cells", S.split_row("line")).withColumn("mapped", mapped)
-    t = t.withColumns({"field_name": S.row_field_name(c("cells"), c("mapped"), c("field")), "bits_text": S.row_bits_text(c("cells"), c("mapped"), c("bits"))})
     # A header with only one of the columns is dropped, but does not map the rows below it.
-    t = t.filter("field_name IS NOT NULL").withColumn("bit_range", S.bits_in(c("bits_text"))).filter("bit_range <> ''")
+    t = computed_once(t, cells=S.split_row("line"), mapped=(c("field") > 0) & (c("bits") > 0))
+    t = computed_once(t, field_name=S.row_field_name(c("cells"), c("mapped"), c("field")), bits_text=S.row_bits_text(c("cells"), c("mapped"), c("bits")))
+    t = computed_once(t.filter("field_name IS NOT NULL"), bit_range=S.bits_in(c("bits_text"))).filter("bit_range <> ''")
     t = t.select(*keep, "line_no", "field_name", "bit_range", S.row_word(c("cells"), c("mapped"), c("word")).alias("word_index"), S.row_confidence(c("mapped"), c("bit_range")).alias("row_confidence"))
 
     x = some.filter("block_type IN ('text', 'equation', 'image')").select(*keep, F.posexplode("lines").alias("line_no", "line"))
-    x = x.filter(c("line").rlike(S.LOOSE_LINE)).withColumn("f", S.loose_field("line"))
+    x = computed_once(x.filter(c("line").rlike(S.LOOSE_LINE)), f=S.loose_field("line"))
     x = x.select(*keep, "line_no", "f.field_name", "f.bit_range", F.lit(0).alias("word_index"), (c("f.row_confidence") * 0.85).alias("row_confidence"))
 
     w = Window.partitionBy("document_id", "page", "block_id", "block_idx").orderBy("line_no")
