@@ -100,7 +100,7 @@ def split_tokens(e: Encoded, limit: int, overlap: int) -> list[tuple[int, int, i
             break
         i, level = j, us[j][2]
         back = max(start + 1, end - overlap)
-        at = e.back(e.whole, back, max(start, back - 8))
+        at = e.back(e.word, back, max(start, back - 8)) or e.back(e.whole, back, start)
         start = at if at is not None else back
     return out
 
@@ -111,7 +111,7 @@ def split_documents(
     """Pieces of texts above ``limit`` tokens: (doc_id, piece, start, end, n_tokens, cut, text).
 
     start and end are character offsets; ``cut`` names the boundary the piece's new text begins at. Consecutive
-    pieces share ``overlap`` tokens (a few more where that would divide a character). With ``all_texts``
+    pieces share ``overlap`` tokens (up to 8 more to begin at a word, or where a character would be divided). With ``all_texts``
     shorter texts come out as one piece; null and empty texts give none. No shuffle.
     """
     if not 0 <= overlap < limit:
@@ -125,7 +125,7 @@ def split_documents(
         for b in batches:
             rows = []
             for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                e = Encoded(t, vocab)
+                e = Encoded(t, vocab, -1 if all_texts else limit)
                 if e.n > limit or all_texts:
                     for i, (s, x, lv) in enumerate(split_tokens(e, limit, overlap)):
                         rows.append((d, i, e.char_at(s), e.char_at(x), x - s, NAMES[min(lv, 4)] if i else "start", e.text(s, x)))

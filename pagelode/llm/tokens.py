@@ -24,10 +24,11 @@ class Vocabulary:
         self._enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         top = max(ranks.values()) + 1
         self.size = np.zeros(top, dtype=np.int64)
-        self.opens_word = np.zeros(top, dtype=bool)
+        self.opens_word, self.starts_blank, self.ends_blank = (np.zeros(top, dtype=bool) for _ in range(3))
         for b, i in ranks.items():
             self.size[i] = len(b)
             self.opens_word[i] = len(b) > 1 and b[:1] == b" " and not b[1:2].isspace()
+            self.starts_blank[i], self.ends_blank[i] = b[:1].isspace(), b[-1:].isspace()
 
     def encode(self, text: str) -> np.ndarray:
         return self._enc.encode_to_numpy(text, disallowed_special=())
@@ -46,14 +47,17 @@ class Encoded:
     """A text as tokens with the places where it may be cut.
 
     ``byte_at[i]`` is the byte at which token ``i`` starts (with a last entry for the end); ``whole[i]`` says
-    whether that is the start of a character; ``word[i]`` whether a word starts there, so that the
-    tokens on both sides stay the same when the text is cut.
+    whether that is the start of a character; ``word[i]`` whether a word starts there, so that the tokens on
+    both sides stay the same when the text is cut. Texts of at most ``least`` tokens are only counted.
     """
 
-    def __init__(self, text: str, vocab: Vocabulary):
+    def __init__(self, text: str, vocab: Vocabulary, least: int = -1):
         self.raw = text.encode("utf-8", "replace")
         ids = vocab.encode(self.raw.decode("utf-8"))
         self.n = len(ids)
+        self.vocab = vocab
+        if self.n <= least:
+            return
         self.byte_at = np.zeros(self.n + 1, dtype=np.int64)
         np.cumsum(vocab.size[ids], out=self.byte_at[1:])
         data = np.frombuffer(self.raw, dtype=np.uint8)
@@ -64,8 +68,7 @@ class Encoded:
         self.word = np.ones(self.n + 1, dtype=bool)
         if self.n:
             self.whole[:-1] = lead[self.byte_at[:-1]]
-            self.word[1:-1] = vocab.opens_word[ids[1:]]
-        self.vocab = vocab
+            self.word[1:-1] = vocab.opens_word[ids[1:]] | (vocab.ends_blank[ids[:-1]] & ~vocab.starts_blank[ids[1:]])
 
     def char_at(self, token: int) -> int:
         return int(self.char_of[self.byte_at[token]])
@@ -78,11 +81,22 @@ class Encoded:
         at = np.flatnonzero(marks[least + 1 : token + 1])
         return None if not len(at) else int(at[-1]) + least + 1
 
+    def own_count(self, start: int, end: int) -> int:
+        """Tokens the text of a span has by itself: only words cut at its ends are encoded again."""
+        after = start if self.word[start] else next(iter(np.flatnonzero(self.word[start:end]) + start), end)
+        before = end if self.word[end] else self.back(self.word, end, start)
+        if before is None or before <= after:
+            return self.vocab.count(self.text(start, end))
+        n = before - after
+        if after > start:
+            n += self.vocab.count(self.text(start, int(after)))
+        if before < end:
+            n += self.vocab.count(self.text(before, end))
+        return int(n)
+
     def fitting(self, start: int, end: int, limit: int, least: int) -> int:
         """``end`` or a boundary before it (after ``least``) such that the text in between has at most ``limit`` tokens of its own."""
-        if (self.word[start] or start == 0) and (self.word[end] or end == self.n):
-            return end
-        while end - start > 1 and self.vocab.count(self.text(start, end)) > limit:
+        while end - start > 1 and self.own_count(start, end) > limit:
             before = self.back(self.whole, end - 1, max(least, start))
             if before is None:
                 break
