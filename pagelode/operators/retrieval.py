@@ -28,15 +28,20 @@ def inner_product(a: Column, b: Column) -> Column:
 
 def embed(texts: DataFrame, embedder, column: str = "text", batch: int = 64) -> DataFrame:  # noqa: ANN001
     """Adds ``vec``: texts embedded by an injected callable (list of texts to list of vectors), batch by batch."""
+    def unit(v) -> list[float]:  # noqa: ANN001
+        x = [float(y) for y in v]
+        norm = max(sum(y * y for y in x) ** 0.5, 1e-12)
+        return [y / norm for y in x]
+
     @F.pandas_udf("array<double>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             out: list = []
             for i in range(0, len(s), batch):
-                out.extend([list(map(float, v)) for v in embedder(s.iloc[i : i + batch].fillna("").tolist())])
+                out.extend(unit(v) for v in embedder(s.iloc[i : i + batch].fillna("").tolist()))
             yield pd.Series(out)
 
-    return texts.withColumn("vec", normalized(run(F.col(column))))
+    return texts.withColumn("vec", run(column))
 
 
 def index_rows(blocks: DataFrame) -> DataFrame:
