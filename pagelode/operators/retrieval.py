@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -150,3 +151,23 @@ def chat_context(hits: DataFrame, max_hits: int = 8) -> DataFrame:
     return hits.filter(F.col("rank") <= max_hits).groupBy("conv_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", line.alias("l")))), lambda x: x["l"]), "\n\n").alias("context")
     )
+
+
+@dataclass(frozen=True)
+class RetrievalConfig:
+    """Settings of retrieval before extraction: whether, from where, how many, with which query and model."""
+
+    enabled: bool = False
+    index_path: str = "artifacts/index"
+    top_k: int = TOP_K
+    query: str = ""
+    query_mode: str = "hybrid"
+    model: str = ""
+    rebuild: bool = False
+
+
+def coverage_metric(coverage: DataFrame, metric: str = "binary") -> DataFrame:
+    """(page, value) of one coverage measure for a chart."""
+    if metric not in ("binary", "instruction_count", "max_confidence"):
+        raise ValueError(f"no such measure: {metric}")
+    return coverage.select("page", F.col(metric).cast("double").alias("value"))
