@@ -126,10 +126,10 @@ def numbered_by(df: DataFrame, key: str) -> DataFrame:
 def repair_types(mappings: DataFrame, registry: DataFrame) -> DataFrame:
     """Mappings whose ``data_type_ref`` is no registered id take the alphabetically first id; an empty registry knows ``UNKNOWN`` only."""
     ids = registry.select(F.col("type_id").alias("_id")).distinct()
-    least = registry.agg(F.coalesce(F.min("type_id"), F.lit("UNKNOWN")).alias("_least"))
+    least = registry.agg(F.coalesce(F.min("type_id"), F.lit("UNKNOWN"))).scalar()
     ref = strip(F.coalesce("data_type_ref", F.lit("")))
-    j = mappings.withColumn("_ref", ref).join(ids, F.col("_ref") == F.col("_id"), "left").join(F.broadcast(least))
-    return j.withColumn("repaired", F.col("_id").isNull()).withColumn("data_type_ref", F.coalesce("_id", "_least")).drop("_ref", "_id", "_least")
+    j = mappings.withColumn("_ref", ref).join(ids, F.col("_ref") == F.col("_id"), "left")
+    return j.withColumn("repaired", F.col("_id").isNull()).withColumn("data_type_ref", F.coalesce(F.col("_id"), least)).drop("_ref", "_id")
 
 
 def field_datatypes(fields: DataFrame, run_id: str = "run") -> DataFrame:

@@ -64,13 +64,12 @@ def evaluate_instructions(pred: DataFrame, truth: DataFrame, scope: list[str] |
 
 def evaluate_field_map(pred: DataFrame, truth: DataFrame, scope: list[str] | None = None) -> DataFrame:
     """Scores on (name, variation, field[, bit range]): the range counts only if any true row has one; missing ranges are equal."""
-    uses = truth.agg(F.coalesce(F.bool_or(blank_to_null("bit_range").isNotNull()), F.lit(False)).alias("use_bits"))
+    uses = truth.agg(F.coalesce(F.bool_or(blank_to_null("bit_range").isNotNull()), F.lit(False))).scalar()
     key = [*(scope or []), "name", "var", "field", "bits"]
 
     def keyed(df: DataFrame) -> DataFrame:
         d = _scope(df).withColumn("field", F.upper(blank_to_null("field_name"))).filter("field IS NOT NULL")
-        d = d.join(F.broadcast(uses))  # one row
-        return d.withColumn("bits", F.when(F.col("use_bits"), F.regexp_replace(blank_to_null("bit_range"), r"\s", "")))
+        return d.withColumn("bits", F.when(uses, F.regexp_replace(blank_to_null("bit_range"), r"\s", "")))
 
     return evaluate(keyed(pred), keyed(truth), key)
 
