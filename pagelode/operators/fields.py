@@ -195,10 +195,27 @@ def page_coverage(catalog: DataFrame, first: int, last: int, document: str | Non
     if first > last or first < 1:
         raise ValueError("invalid page range")
     by = [document] if document else []
-    cited = catalog.select(*by, F.coalesce(F.col("confidence_score"), F.lit(0.0)).alias("c"), F.explode(evidence_pages()).alias("page"))
-    agg = cited.filter(F.col("page").between(first, last)).groupBy(*by, "page").agg(F.count("*").alias("instruction_count"), F.max(F.when(~F.isnan("c"), F.col("c"))).alias("max_confidence"))
     docs = catalog.select(*by).distinct() if by else catalog.sparkSession.range(1).select()
-    spine = docs.select(*by, F.explode(F.sequence(F.lit(first), F.lit(last))).alias("page"))
+    return _covered(docs.select(*by, F.explode(F.sequence(F.lit(first), F.lit(last))).alias("page")), _cited(catalog, by).filter(F.col("page").between(first, last)), by)
+
+
+def whole_coverage(catalog: DataFrame, pages: DataFrame) -> DataFrame:
+    """``page_coverage`` of whole documents: from page 1 to the last page there is or that is cited.
+
+    ``pages``: (document_id, total_pages). Documents without catalog rows have their pages too.
+    """
+    by, cited = ["document_id"], _cited(catalog, ["document_id"])
+    ends = pages.select("document_id", F.col("total_pages").alias("page")).unionByName(catalog.select("document_id", F.array_max(evidence_pages()).alias("page")))
+    last = ends.groupBy("document_id").agg(F.greatest(F.max("page"), F.lit(1)).alias("last"))
+    return _covered(last.select("document_id", F.explode(F.sequence(F.lit(1), F.col("last"))).alias("page")), cited, by)
+
+
+def _cited(catalog: DataFrame, by: list[str]) -> DataFrame:
+    return catalog.select(*by, F.coalesce(F.col("confidence_score"), F.lit(0.0)).alias("c"), F.explode(evidence_pages()).alias("page"))
+
+
+def _covered(spine: DataFrame, cited: DataFrame, by: list[str]) -> DataFrame:
+    agg = cited.groupBy(*by, "page").agg(F.count("*").alias("instruction_count"), F.max(F.when(~F.isnan("c"), F.col("c"))).alias("max_confidence"))
     out = spine.join(agg, [*by, "page"], "left")
     n = F.coalesce("instruction_count", F.lit(0))
     return out.select(*by, "page", F.when(n > 0, 1).otherwise(0).alias("binary"), n.alias("instruction_count"), F.round(F.coalesce("max_confidence", F.lit(0.0)), 4).alias("max_confidence"))

@@ -128,6 +128,11 @@ def page_coverage(s: SparkSession, d: str) -> DataFrame:
     return D.page_coverage(catalog(s, d), 1, 40)
 
 
+def page_coverage_whole(s: SparkSession, d: str) -> DataFrame:
+    """Every page of every manual, to the last one there is or that is cited."""
+    return D.whole_coverage(catalog(s, d), B.total_pages(page_blocks(s, d)))
+
+
 def parsed_fields(s: SparkSession, d: str) -> DataFrame:
     p = D.parsed_fields(page_blocks(s, d))
     return p.select("document_id", "block_id", "field_idx", "field_name", "bit_range", "word_index", F.round("row_confidence", 4).alias("row_confidence"))
@@ -344,7 +349,7 @@ def pipeline_nodes(s: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     opcode_parse, scope_labels, bit_width_types, domain_expressions, domain_constraints, constraint_counts, canonical_intervals, page_metrics,
     header_footer_position, repeated_lines, header_footer_repeat, reading_order, prompt_budget, total_pages, block_neighbours, equation_blocks,
-    page_confidence, page_coverage, parsed_fields, band_candidates, field_map, scope_coverage, coverage_summary, global_fields, scope_fields,
+    page_confidence, page_coverage, page_coverage_whole, parsed_fields, band_candidates, field_map, scope_coverage, coverage_summary, global_fields, scope_fields,
     override_join, registry_repair, fold_dedup, first_and_last, type_registry, inferred_types, interval_islands, stitch_links, heading_rank,
     eval_instructions, eval_field_map, eval_names, eval_sections, ontology_nodes, ontology_edges, dangling_edges, node_degrees, edge_sample,
     unit_instructions, evidence_lookup, vector_topk, vector_topk_many, index_rows, contract_violations, corpus_chunks, glossary_terms, size_routes,

@@ -140,6 +140,12 @@ ORACLE = {
       a AS (SELECT document_id, page, count(*) AS n, max(conf) FILTER (NOT isnan(conf)) AS mx FROM z WHERE page BETWEEN 1 AND 40 GROUP BY ALL),
       sp AS (SELECT document_id, unnest(range(1, 41))::INT AS page FROM (SELECT DISTINCT document_id FROM c))
       SELECT document_id, sp.page, CASE WHEN n > 0 THEN 1 ELSE 0 END AS "binary", coalesce(n, 0) AS instruction_count, round(coalesce(mx, 0.0), 4) AS max_confidence FROM sp LEFT JOIN a USING (document_id, page)""",
+    "page_coverage_whole": f"""WITH {_BLOCKS}, {_CAT}, z AS (SELECT document_id, coalesce(conf, 0) AS conf, unnest({_PAGES}) AS page FROM c),
+      a AS (SELECT document_id, page, count(*) AS n, max(conf) FILTER (NOT isnan(conf)) AS mx FROM z GROUP BY ALL),
+      tp AS (SELECT document_id, coalesce(max(page) FILTER (extraction_method IS DISTINCT FROM 'supplemental_corpus'), max(page), 1) AS page FROM b GROUP BY ALL),
+      l AS (SELECT document_id, greatest(max(page), 1) AS last FROM (SELECT document_id, page FROM tp UNION ALL SELECT document_id, page FROM z UNION ALL SELECT document_id, 1 FROM c) GROUP BY ALL),
+      sp AS (SELECT document_id, unnest(range(1, last + 1))::INT AS page FROM l)
+      SELECT document_id, sp.page, CASE WHEN n > 0 THEN 1 ELSE 0 END AS "binary", coalesce(n, 0) AS instruction_count, round(coalesce(mx, 0.0), 4) AS max_confidence FROM sp LEFT JOIN a USING (document_id, page)""",
     "band_candidates": f"""WITH {_BLOCKS}, {_CAT}, pg AS (SELECT DISTINCT document_id, page FROM b), z AS (SELECT document_id, pos, unnest({_PAGES}) AS ip FROM c),
       hit AS (SELECT DISTINCT pg.document_id, pg.page, z.pos FROM pg JOIN z ON z.document_id = pg.document_id AND z.ip BETWEEN pg.page - 1 AND pg.page + 1),
       fst AS (SELECT document_id, min(pos) AS pos FROM c GROUP BY ALL)
