@@ -15,11 +15,15 @@ def _numbered(prefix: F.Column | str, n: str):  # noqa: ANN202
     return F.concat(prefix if not isinstance(prefix, str) else F.lit(prefix), F.lit("_"), F.when(F.length(F.col(n).cast("string")) >= _ID_WIDTH, F.col(n).cast("string")).otherwise(F.lpad(F.col(n).cast("string"), _ID_WIDTH, "0")))
 
 
+def _document(df: DataFrame) -> list[str]:
+    return [c for c in ("document_id",) if c in df.columns]
+
+
 def constraints_from_domains(domains: DataFrame, run_id: str = "run", pos: str = "pos") -> DataFrame:
     """One constraint per domain row; a placeholder if there is no domain at all. ``pos`` numbers the rows."""
     field = F.coalesce(strip(F.col("field_name")), F.lit("UNKNOWN"))
     rows = domains.select(
-        S.trace_id(run_id, F.lit("c"), F.col(pos)).alias("trace_id"),
+        *_document(domains), S.trace_id(run_id, F.lit("c"), F.col(pos)).alias("trace_id"),
         _numbered(F.concat(F.lit("C_"), S.field_slug("field_name")), pos).alias("constraint_id"),
         S.value_form("allowed_value_form").alias("constraint_type_level1"),
         F.lit("field-domain").alias("constraint_type_level2"),
@@ -48,7 +52,7 @@ def constraints_from_items(items: DataFrame, mapping: DataFrame, run_id: str = "
     canon = F.coalesce(F.when(F.col("_l").isNull(), F.col("_cand")).otherwise(blank_to_null("_c")), F.lit("unknown"))
     field, inst = blank_to_null("field_name"), blank_to_null("instruction_name")
     return j.select(
-        S.trace_id(run_id, F.lit("c:llm"), F.col("_n")).alias("trace_id"), _numbered("C_LLM", "_n").alias("constraint_id"),
+        *_document(items), S.trace_id(run_id, F.lit("c:llm"), F.col("_n")).alias("trace_id"), _numbered("C_LLM", "_n").alias("constraint_id"),
         F.left(F.replace(canon, F.lit(" "), F.lit("_")), F.lit(64)).alias("constraint_type_level1"), F.lit("llm-document").alias("constraint_type_level2"),
         F.left(F.coalesce(F.nullif("constraint_content", F.lit("")), "verbatim_sentence", F.lit("")), F.lit(2000)).alias("expression"),
         F.concat(F.lit("LLM extraction; candidate="), F.col("_cand")).alias("classification_rationale"),

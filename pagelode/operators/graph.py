@@ -48,9 +48,10 @@ def ontology_edges(constraints: DataFrame, instructions: DataFrame, datatypes: D
     """Distinct edges (from, rel, to); ends may be missing among the nodes.
 
     ``scope`` names columns (such as document_id) within which names are looked up; of several instructions
-    with one name or key the first by ``pos`` is meant.
+    with one name or key the first by ``pos`` is meant. Constraints without such a column are looked up in all.
     """
     scope = scope or []
+    own = [x for x in scope if x in constraints.columns]
     iid = S.instruction_node_id("instruction_name", "variation", "opcode_value")
     inst = instructions.select(
         *scope, "pos", iid.alias("iid"), _unit().alias("unit"), F.upper(strip(F.coalesce("instruction_name", F.lit("")))).alias("name"), F.coalesce(S.normalize_variation("variation"), F.lit("")).alias("var")
@@ -59,13 +60,13 @@ def ontology_edges(constraints: DataFrame, instructions: DataFrame, datatypes: D
     runs = inst.select(F.col("iid").alias("from"), F.lit("EXECUTES_ON").alias("rel"), F.concat(F.lit("EU:"), "unit").alias("to"))
     has = inst.select(root.alias("from"), F.lit("HAS_INSTRUCTION").alias("rel"), F.col("iid").alias("to"))
     c = constraints.select(
-        *scope, F.concat(F.lit("Constraint:"), strip(F.col("constraint_id"))).alias("from"), strip(F.coalesce("applies_to.entity_type", F.lit("Field"))).alias("et"), blank_to_null("applies_to.entity_name").alias("en")
+        *own, F.concat(F.lit("Constraint:"), strip(F.col("constraint_id"))).alias("from"), strip(F.coalesce("applies_to.entity_type", F.lit("Field"))).alias("et"), blank_to_null("applies_to.entity_name").alias("en")
     ).filter(blank_to_null("constraint_id").isNotNull() & F.col("en").isNotNull())
     rel = F.lit("APPLIES_TO").alias("rel")
     to_field = c.filter("et = 'Field'").select("from", rel, F.concat(F.lit("Field:"), F.upper("en")).alias("to"))
     to_doc = c.filter("et = 'Document'").select("from", rel, root.alias("to"))
-    by_name = first_wins(inst.select(*scope, "name", "iid", "pos"), [*scope, "name"], "pos")
-    to_inst = c.filter("et = 'Instruction'").withColumn("name", F.upper("en")).join(by_name, [*scope, "name"]).select("from", rel, F.col("iid").alias("to"))
+    by_name = first_wins(inst.select(*own, "name", "iid", "pos"), [*own, "name"], "pos")
+    to_inst = c.filter("et = 'Instruction'").withColumn("name", F.upper("en")).join(by_name, [*own, "name"]).select("from", rel, F.col("iid").alias("to"))
     by_key = first_wins(inst.filter("name <> ''").select(*scope, "name", "var", "iid", "pos"), [*scope, "name", "var"], "pos")
     f = datatypes.select(
         *scope, F.upper(strip(F.coalesce("instruction_name", F.lit("")))).alias("name"), F.coalesce(S.normalize_variation("variation"), F.lit("")).alias("var"),

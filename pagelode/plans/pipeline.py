@@ -104,7 +104,7 @@ def stage_constraints(t: Tables, cfg: Config) -> Tables:
 def stage_graph(t: Tables, cfg: Config) -> Tables:
     cons = t["constraint_registry"].withColumn("pos", F.col("trace_id"))
     inst, types = t["instruction_catalog"], t["field_datatype_catalog"]
-    scope = ["document_id"] if all("document_id" in x.columns for x in (cons, inst, types)) else []
+    scope = ["document_id"] if all("document_id" in x.columns for x in (inst, types)) else []
     return {**t, "nodes": R.ontology_nodes(cons, inst, types, t["datatype_registry"]), "edges": R.ontology_edges(cons, inst, types, scope=scope)}
 
 

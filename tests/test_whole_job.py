@@ -1,6 +1,8 @@
 """Operators that must not leave out a part of their work."""
 
 from pagelode.operators import fields as D
+from pagelode.plans.pipeline import Config, run_chain
+from tests.test_operators import BLOCK
 
 
 def _catalog(spark, rows):
@@ -13,3 +15,19 @@ def test_coverage_to_the_last_page(spark):
     got = {(r["document_id"], r["page"]): (r["binary"], r["instruction_count"], r["max_confidence"]) for r in D.whole_coverage(cat, pages).collect()}
     cited = {("a", 50): (1, 2, 0.7), ("a", 2): (1, 1, 0.7), ("b", 3): (1, 1, 0.0)}
     assert got == {(d, p): cited.get((d, p), (0, 0, 0.0)) for d, n in (("a", 50), ("b", 60), ("c", 2), ("n", 1)) for p in range(1, n + 1)}
+
+
+def _two_manuals(spark, **replays):
+    """One instruction name with another opcode and other fields in each of two manuals."""
+    box = (0.0, 0.0, 1.0, 1.0)
+    b = spark.createDataFrame([
+        ("t0", "d", 1, "p1_b0", "table", box, "Field\tBits\nOPCODE\t31:28\nSRC\t3:0", "text_layer"), ("t1", "e", 1, "p1_b0", "table", box, "Field\tBits\nOPCODE\t31:28\nDST\t7:0", "text_layer"),
+    ], BLOCK)
+    cat = spark.createDataFrame([("d", 0, "CONV", None, "1", 1, "EU0", [(1,)]), ("e", 1, "CONV", None, "2", 2, "EU0", [(1,)])], "document_id string, pos bigint, instruction_name string, variation string, opcode_raw string, opcode_value bigint, execution_unit string, source_refs array<struct<page:int>>")
+    return run_chain({"page_blocks": b, "instruction_catalog": cat}, Config(run_id="r", replays=replays))
+
+
+def test_chain_keeps_the_fields_of_each_manual(spark):
+    t = _two_manuals(spark)
+    got = {(r["from"], r["to"]) for r in t["edges"].filter("rel = 'HAS_FIELD'").collect()}
+    assert got == {("Instr:1", "Field:OPCODE"), ("Instr:1", "Field:SRC"), ("Instr:2", "Field:OPCODE"), ("Instr:2", "Field:DST")}
