@@ -109,12 +109,13 @@ def datatype_registry(items: DataFrame, run_id: str = "run") -> DataFrame:
     )
 
 
-def numbered_by(df: DataFrame, key: str) -> DataFrame:
+def numbered_by(df: DataFrame, key: str | list[str], lead: str | None = None) -> DataFrame:
     """Adds ``n``, the rank from 0 by a unique string key: rank in its leading characters plus the sizes of smaller ones.
 
-    No single task sorts the whole table, as a window without partitions would.
+    No single task sorts the whole table, as a window without partitions would. A column ``lead`` that comes before
+    ``key`` in the order takes the place of the leading characters; then ``key`` may be several columns.
     """
-    lead = F.substring(F.col(key), 1, 2)
+    lead = F.col(lead) if lead else F.substring(F.col(key), 1, 2)
     d = df.withColumn("_lead", lead)
     sizes = d.groupBy("_lead").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_lead").rowsBetween(Window.unboundedPreceding, -1)  # few distinct leads

@@ -31,3 +31,13 @@ def test_chain_keeps_the_fields_of_each_manual(spark):
     t = _two_manuals(spark)
     got = {(r["from"], r["to"]) for r in t["edges"].filter("rel = 'HAS_FIELD'").collect()}
     assert got == {("Instr:1", "Field:OPCODE"), ("Instr:1", "Field:SRC"), ("Instr:2", "Field:OPCODE"), ("Instr:2", "Field:DST")}
+
+
+def test_chain_has_a_constraint_for_each_domain_row(spark):
+    t = _two_manuals(spark)
+    cons = t["constraint_registry"].collect()
+    assert sorted((r["document_id"], r["applies_to"]["entity_name"], r["expression"]) for r in cons) == [
+        ("d", "OPCODE", "0 <= OPCODE <= 15"), ("d", "SRC", "0 <= SRC <= 15"), ("e", "DST", "0 <= DST <= 255"), ("e", "OPCODE", "0 <= OPCODE <= 15"),
+    ]
+    assert sorted(r["constraint_id"][-4:] for r in cons) == ["0000", "0001", "0002", "0003"]
+    assert t["nodes"].filter("type = 'Constraint'").count() == 4 == t["edges"].filter("rel = 'APPLIES_TO'").count()
