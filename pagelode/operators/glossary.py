@@ -72,8 +72,8 @@ def match_aliases(names: DataFrame, known: DataFrame, most: int = 2) -> DataFram
     return near.groupBy("name").agg(F.min(F.struct("distance", "canonical")).alias("m")).select("name", F.col("m.canonical").alias("canonical"), F.col("m.distance").alias("distance"))
 
 
-def boundary_values(domains: DataFrame, most: int = 4) -> DataFrame:
-    """(document_id, scope, field_name, value): for an interval its ends and the values beside them, for an enumeration its first ``most`` values.
+def boundary_values(domains: DataFrame) -> DataFrame:
+    """(document_id, scope, field_name, value): for an interval its ends and the values beside them, for an enumeration all its values.
 
     Choosing boundary values is the feature: it keeps test combinations finite.
     """
@@ -83,24 +83,39 @@ def boundary_values(domains: DataFrame, most: int = 4) -> DataFrame:
     lo, hi = F.get(iv, 0).try_cast("bigint"), F.get(iv, 1).try_cast("bigint")
     ends = F.array_distinct(F.array(lo, F.least(lo + 1, hi), F.greatest(hi - 1, lo), hi))
     d = structured_domain("allowed_value_form", "allowed_values_or_range")
-    vals = F.when(lo.isNotNull(), F.transform(ends, lambda x: x.cast("string"))).when(d["form"] == "enum", F.slice(d["values"], F.lit(1), F.lit(most)))
+    vals = F.when(lo.isNotNull(), F.transform(ends, lambda x: x.cast("string"))).when(d["form"] == "enum", d["values"])
     return domains.select("document_id", "scope", "field_name", F.explode(vals).alias("value"))
 
 
 def combination_matrix(values: DataFrame, most: int = 1000) -> DataFrame:
-    """Combinations of field values per scope as maps: (document_id, scope, combo, assignment); at most ``most`` per scope.
+    """Combinations of field values per scope as maps: (document_id, scope, combo, assignment).
 
-    Mixed-radix numbering: combination n assigns each field the value its digit names, so no product is built by joins.
+    All of them where there are at most ``most`` or no more than a covering set has; else a covering set, in which every
+    pair of values of any two fields occurs. Mixed-radix numbering: combination n assigns each field the value its digit
+    names, so no product is built by joins. Covering set: q is the least prime not below the most values of a field, and
+    for each digit h of the fields' numbers in base q, row (h, a, b) assigns field i the value a + b * digit mod q; two
+    fields differ in some digit, and there the rows run through all pairs.
     """
     per = values.groupBy("document_id", "scope", "field_name").agg(F.array_sort(F.collect_set("value")).alias("vals"))
     scopes = per.groupBy("document_id", "scope").agg(F.array_sort(F.collect_list(F.struct("field_name", "vals"))).alias("fs"))
-    total = F.aggregate("fs", F.lit(1).cast("bigint"), lambda a, f: F.least(F.lit(most).cast("bigint"), a * F.size(f["vals"])))
-    e = scopes.withColumn("combo", F.explode(F.sequence(F.lit(0).cast("bigint"), total - 1)))
+    prime = "filter(sequence(_v, 2 * _v), n -> forall(sequence(2, greatest(2, int(sqrt(n)))), m -> m >= n OR n % m <> 0))[0]"
+    digits = "aggregate(sequence(1, 31), struct(1 AS t, bigint(_q) AS p), (a, x) -> if(a.p >= size(fs), a, struct(a.t + 1 AS t, a.p * _q AS p))).t"
+    scopes = scopes.withColumn("_v", F.expr("greatest(2, array_max(transform(fs, f -> size(f.vals))))")).withColumn("_q", F.expr(prime).cast("bigint"))
+    scopes = scopes.withColumn("_rows", F.expr(digits) * F.col("_q") * F.col("_q")).withColumn("_most", F.greatest(F.lit(most).cast("bigint"), "_rows"))
+    scopes = scopes.withColumn("_total", F.expr("aggregate(fs, 1L, (a, f) -> least(_most + 1, a * size(f.vals)))"))
+
+    e = scopes.filter("_total <= _most").withColumn("combo", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_total") - 1)))
     step = F.aggregate(
         "fs", F.struct(F.col("combo").alias("rest"), F.array().cast("array<struct<key:string,value:string>>").alias("out")),
         lambda a, f: F.struct(F.floor(a["rest"] / F.size(f["vals"])).alias("rest"), F.concat(a["out"], F.array(F.struct(f["field_name"].alias("key"), F.get(f["vals"], (a["rest"] % F.size(f["vals"])).cast("int")).alias("value")))).alias("out")),
     )
-    return e.select("document_id", "scope", "combo", F.map_from_entries(step["out"]).alias("assignment"))
+    whole = e.select("document_id", "scope", "combo", step["out"].alias("out"))
+
+    c = scopes.filter("_total > _most").withColumn("combo", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_rows") - 1)))
+    c = c.withColumns({"_p": F.expr("bigint(pow(_q, combo div (_q * _q)))"), "_a": F.expr("combo div _q % _q"), "_b": F.expr("combo % _q")})
+    row = "transform(fs, (f, i) -> struct(f.field_name AS key, f.vals[int((_a + _b * (i div _p % _q)) % _q % size(f.vals))] AS value))"
+    cover = c.select("document_id", "scope", "combo", F.expr(row).alias("out")).groupBy("document_id", "scope", "out").agg(F.min("combo").alias("combo"))
+    return whole.unionByName(cover).select("document_id", "scope", "combo", F.map_from_entries("out").alias("assignment"))
 
 
 def running_counts(events: DataFrame, key: str, at: str) -> DataFrame:

@@ -331,7 +331,7 @@ def markdown_export(s: SparkSession, d: str) -> DataFrame:
 
 
 def combinations(s: SparkSession, d: str) -> DataFrame:
-    """Boundary-value combinations of the fields of each scope, at most a thousand a scope."""
+    """Boundary-value combinations of the fields of each scope: all, or beyond a thousand a set with all pairs of values."""
     r = once(s, d, "field_domain_catalog").withColumn("scope", S.scope_label("instruction_name", "variation"))
     m = X.combination_matrix(X.boundary_values(r))
     return m.select("document_id", "scope", "combo", F.to_json("assignment").alias("assignment"))

@@ -1,6 +1,9 @@
 """Operators that must not leave out a part of their work."""
 
+from itertools import combinations
+
 from pagelode.operators import fields as D
+from pagelode.operators import glossary as G
 from pagelode.plans.pipeline import Config, run_chain
 from tests.test_operators import BLOCK
 
@@ -41,3 +44,18 @@ def test_chain_has_a_constraint_for_each_domain_row(spark):
     ]
     assert sorted(r["constraint_id"][-4:] for r in cons) == ["0000", "0001", "0002", "0003"]
     assert t["nodes"].filter("type = 'Constraint'").count() == 4 == t["edges"].filter("rel = 'APPLIES_TO'").count()
+
+
+def test_combinations_show_every_pair_of_values(spark):
+    sizes = {"small": [4, 4, 4, 4, 3], "wide": [4] * 30, "mixed": [2, 9, 6, 1, 4, 7, 3], "two": [40, 30]}
+    rows = [("d", s, f"F{i:02d}", "enum", "|".join(f"v{j}" for j in range(n))) for s, ns in sizes.items() for i, n in enumerate(ns)]
+    d = spark.createDataFrame(rows, "document_id string, scope string, field_name string, allowed_value_form string, allowed_values_or_range string")
+    got = {}
+    for r in G.combination_matrix(G.boundary_values(d)).collect():
+        got.setdefault(r["scope"], []).append(r["assignment"])
+    assert {s: len(m) for s, m in got.items() if s in ("small", "two")} == {"small": 768, "two": 1200}
+    for s, ns in sizes.items():
+        m = got[s]
+        assert len({tuple(sorted(x.items())) for x in m}) == len(m) and all(len(x) == len(ns) for x in m)
+        for i, j in combinations(range(len(ns)), 2):
+            assert len({(x[f"F{i:02d}"], x[f"F{j:02d}"]) for x in m}) == ns[i] * ns[j], (s, i, j)
