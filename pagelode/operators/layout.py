@@ -31,11 +31,11 @@ def merge_boxes(boxes: DataFrame, by: list[str]) -> DataFrame:
     return out.select(*by, "cluster", "n_boxes", G.box(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")).alias("bbox"), (F.col("n_boxes") > 1).alias("merged"))
 
 
-def cluster_adjacent(boxes: DataFrame, by: list[str], box_id: str, gap: float = 5.0, least: float = 0.5, sideways: bool = False, rounds: int = 32) -> DataFrame:
+def cluster_adjacent(boxes: DataFrame, by: list[str], box_id: str, gap: float = 5.0, least: float = 0.5, sideways: bool = False) -> DataFrame:
     """The older clustering by adjacency (gap and overlap ratio): (``by``, ``box_id``, ``cluster``).
 
     Neighbours are found among the boxes of one page; groups are the connected components, by passing on the
-    smallest id until nothing changes. A page holds few boxes, so its pairs are few.
+    smallest id, and that box's own smallest, until nothing changes. A page holds few boxes, so its pairs are few.
     """
     a = boxes.select(*by, F.col(box_id).alias("a"), F.col("bbox").alias("_a"))
     b = boxes.select(*by, F.col(box_id).alias("b"), F.col("bbox").alias("_b"))
@@ -44,11 +44,12 @@ def cluster_adjacent(boxes: DataFrame, by: list[str], box_id: str, gap: float =
         near = near | G.adjacent_horizontally(F.col("_a"), F.col("_b"), gap, least)
     links = materialize(a.join(b, by).filter((F.col("a") != F.col("b")) & near).select(*by, "a", "b"), "links")
     label = boxes.select(*by, F.col(box_id).alias("a"), F.col(box_id).alias("cluster"))
-    for _ in range(rounds):
+    while True:
         heard = links.join(label.select(*by, F.col("a").alias("b"), F.col("cluster").alias("_c")), [*by, "b"]).groupBy(*by, "a").agg(F.min("_c").alias("_c"))
-        new = materialize(
-            label.join(heard, [*by, "a"], "left").select(*by, "a", F.least("cluster", F.coalesce("_c", "cluster")).alias("cluster"), (F.col("_c") < F.col("cluster")).alias("_moved")), "labels"
-        )
+        step = label.join(heard, [*by, "a"], "left").withColumn("_n", F.least("cluster", F.coalesce("_c", "cluster")))
+        far = label.groupBy(*by, F.col("a").alias("_n")).agg(F.min("cluster").alias("_f"))
+        low = F.least("_n", F.coalesce("_f", "_n"))
+        new = materialize(step.join(far, [*by, "_n"], "left").select(*by, "a", low.alias("cluster"), (low < F.col("cluster")).alias("_moved")), "labels")
         label = new.drop("_moved")
         if new.filter("_moved").isEmpty():
             break
