@@ -58,15 +58,24 @@ def rewrite_edges(edges: DataFrame, aliases: DataFrame) -> DataFrame:
 
 
 def match_aliases(names: DataFrame, known: DataFrame, most: int = 2) -> DataFrame:
-    """(name, canonical, distance): the nearest known name within ``most`` edits, candidates by shared trigrams' block.
+    """(name, canonical, distance): the nearest known name within ``most`` edits.
 
-    Names meet only if they agree on their first or last three letters, which bounds the comparisons.
+    A known name is cut into ``most`` + 1 segments, one of which every name within ``most`` edits has unchanged, moved
+    by ``most`` places at most: names meet by length of the known name, number of the segment and segment.
     """
-    def blocked(df: DataFrame, out: str) -> DataFrame:
-        k = F.lower(F.regexp_replace(strip("name"), r"[^\p{L}\p{N}]", ""))
-        return df.select(F.col("name").alias(out), k.alias(f"{out}_k"), F.explode(F.array_distinct(F.array(F.concat(F.lit("<"), F.left(k, F.lit(3))), F.concat(F.right(k, F.lit(3)), F.lit(">"))))).alias("block"))
-
-    j = blocked(names.select("name").distinct(), "name").join(blocked(known.select("name").distinct(), "canonical"), "block")
+    def keyed(df: DataFrame, out: str) -> DataFrame:
+        return df.select(F.col("name").alias(out), F.lower(F.regexp_replace(strip("name"), r"[^\p{L}\p{N}]", "")).alias(f"{out}_k")).distinct()
+
+    m = most + 1
+    cut = f"substring({{k}}, i * {{n}} div {m} + 1 + {{s}}, (i + 1) * {{n}} div {m} - i * {{n}} div {m})"
+    own = f"transform(sequence(0, {most}), i -> struct(length(canonical_k) AS n, i AS i, {cut.format(k='canonical_k', n='length(canonical_k)', s='0')} AS seg))"
+    fits = f"i * n div {m} + s >= 0 AND (i + 1) * n div {m} + s <= length(name_k)"
+    moved = (
+        f"flatten(flatten(transform(sequence(greatest(0, length(name_k) - {most}), length(name_k) + {most}), n -> transform(sequence(0, {most}), i -> "
+        f"transform(filter(sequence(-{most}, {most}), s -> {fits}), s -> struct(n AS n, i AS i, {cut.format(k='name_k', n='n', s='s')} AS seg))))))"
+    )
+    a, b = keyed(names, "name").withColumn("block", F.explode(F.expr(moved))), keyed(known, "canonical").withColumn("block", F.explode(F.expr(own)))
+    j = a.join(b, "block").select("name", "name_k", "canonical", "canonical_k").distinct()
     d = F.levenshtein("name_k", "canonical_k", most)
     near = j.withColumn("distance", d).filter("distance >= 0")
     return near.groupBy("name").agg(F.min(F.struct("distance", "canonical")).alias("m")).select("name", F.col("m.canonical").alias("canonical"), F.col("m.distance").alias("distance"))
