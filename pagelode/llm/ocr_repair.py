@@ -193,11 +193,10 @@ def _remainders(words: DataFrame, name: str, cuts: tuple[int, ...]) -> DataFrame
     value = "transform(split(lower(word), ''), c -> shiftright(xxhash64(c), 16))"
     v = words.withColumn("_v", F.expr(value)).withColumn("_h", F.expr("aggregate(_v, 0L, (a, x) -> a + x)"))
     each = [
-        f"transform(sequence(0, size(_v) - {c}), i -> struct(i AS at, _h - aggregate(slice(_v, i + 1, {c}), 0L, (a, x) -> a + x) AS rest, {c} AS cut))"
+        f"if(size(_v) > {c}, transform(sequence(0, size(_v) - {c}), i -> struct(i AS at, _h - aggregate(slice(_v, i + 1, {c}), 0L, (a, x) -> a + x) AS rest, {c} AS cut)), array())"
         for c in cuts
     ]
-    long_enough = v.filter(F.size("_v") > max(cuts))
-    out = long_enough.select("word", "n", F.explode(F.expr(f"concat({', '.join(each)})")).alias("_x"))
+    out = v.select("word", "n", F.explode(F.expr(f"concat({', '.join(each)})")).alias("_x"))
     return out.select(F.col("word").alias(name), F.col("n").alias(f"n_{name}"), "_x.at", "_x.rest", F.col("_x.cut").alias(f"cut_{name}"))
 
 
@@ -208,8 +207,8 @@ def corrections(lexicon: DataFrame, rules: OcrRules = OcrRules()) -> DataFrame:
     """
     n = F.col("n_sound") + F.col("n_ocr")
     words = lexicon.filter(~F.col("word").contains("-"))
-    known = words.filter(F.col("word").rlike(r"^[\p{Ll}&&[^ﬀ-ﬆ]]{2,64}$") & (n >= rules.min_known)).select("word", n.alias("n"))
-    rare = words.filter((F.col("n_sound") < 2) & (F.length("word") <= 64)).select("word", n.alias("n"))
+    known = words.filter(F.col("word").rlike(r"^[\p{Ll}&&[^ﬀ-ﬆ]]{2,}$") & (n >= rules.min_known)).select("word", n.alias("n"))
+    rare = words.filter(F.col("n_sound") < 2).select("word", n.alias("n"))
     r, k = _remainders(rare, "rare", (1, 2)), _remainders(known, "known", (1, 2))
     met = r.join(k, ["at", "rest"]).filter(
         "cut_rare + cut_known < 4 AND n_known >= n_rare * {0} AND rare <> known".format(rules.ratio)
