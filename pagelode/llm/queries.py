@@ -25,11 +25,12 @@ def readable_number(c: Column) -> Column:
     return F.coalesce(c.rlike(r"^[\s\p{Z}]*([0-9]+|0[xX][0-9A-Fa-f]+)[\s\p{Z}]*$"), F.lit(False))
 
 
-def p1_survivors(spark: SparkSession, base: str) -> DataFrame:
-    """One surviving record per instruction with at least two records, field by field."""
+def _p1(spark: SparkSession, base: str, keep: list[str], fall: float = 2.0) -> DataFrame:
     cat = table(spark, base, "instruction_catalog").select(
         "trace_id", "document_id", "instruction_name", "variation", "opcode_raw", "confidence_score", "extracted_at"
     )
+    if fall == 1:  # rows delivered twice would vote twice
+        cat = cat.dropDuplicates(["trace_id"])
     conf, at = F.col("confidence_score"), F.col("extracted_at")
     trust = [
         F.when(_valid_confidence(conf), -conf).otherwise(F.lit(1.0)),
@@ -41,14 +42,23 @@ def p1_survivors(spark: SparkSession, base: str) -> DataFrame:
         F.col("trace_id"),
         trust,
         {"name": (F.col("instruction_name"), F.lit(True)), "opcode": (F.col("opcode_raw"), readable_number(F.col("opcode_raw")))},
+        fall=fall, keep=keep,
     )
-    return out.select(
-        "document_id", "group_id", "name_id", "name", F.coalesce("opcode_id", "name_id").alias("opcode_id"), "opcode"
-    )
+    return out.withColumn("opcode_id", F.coalesce("opcode_id", "name_id"))
+
+
+def p1_survivors(spark: SparkSession, base: str) -> DataFrame:
+    """One surviving record per instruction with at least two records, field by field from the most trusted."""
+    return _p1(spark, base, ["document_id"]).select("document_id", "group_id", "name_id", "name", "opcode_id", "opcode")
+
+
+def p1_consensus(spark: SparkSession, base: str) -> DataFrame:
+    """The same by the plain vote: every record has one vote, trust decides ties only."""
+    return _p1(spark, base, ["document_id"], 1.0).select("document_id", "group_id", "name_id", "name", "opcode_id", "opcode")
 
 
 def p1_found(spark: SparkSession, base: str) -> DataFrame:
-    return p1_survivors(spark, base).select(
+    return _p1(spark, base, []).select(
         F.col("group_id").alias("group_trace_id"), F.col("name_id").alias("name_trace_id"), F.col("opcode_id").alias("opcode_trace_id")
     )
 
@@ -104,6 +114,7 @@ def p9_pieces(spark: SparkSession, base: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_survivors": p1_survivors,
+    "p1_consensus": p1_consensus,
     "p4_found": p4_found,
     "p4_repaired": p4_repaired,
     "p6_found": p6_found,

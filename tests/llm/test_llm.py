@@ -12,17 +12,27 @@ from pagelode.llm.leakage import WuManber, leaked_items, words
 from pagelode.llm.packing import measured_pieces, pack, packed_documents, plan_slots
 from pagelode.llm.splitting import split_documents
 from pagelode.llm.tokens import VOCABULARY, Encoded, cut_plain, vocabulary
+from tests.sqlcheck import BASE, duck  # noqa: F401
 
 # --- consensus ----------------------------------------------------------------------------------------
 
 
-def test_vote_by_weight_beats_a_lone_outlier():
-    vals = [("LOAD_X2", 1.0, [0.0, "c"]), ("LOAD.X2", 1.0, [0.1, "b"]), ("LOAD_X2", 1.0, [0.2, "a"]), ("LOAD_X9", 0.5, [0.0, "0"])]
-    assert vals[C.choose(vals, "weight")][0] == "LOAD_X2"
-    assert vals[C.choose(vals, "trust")][0] == "LOAD_X9"  # the most trusted record decides
-    p, _ = C.fold_profiles(iter([(C.profile_of("a b c", 1, [0]), [1, [0]]), (C.profile_of("a c", 1, [1]), [1, [1]]), (C.profile_of("a b c", 1, [2]), [1, [2]])]))
-    assert C.consensus(p, "weight") == ["a", "b", "c"] and len(p) == 3
-    assert C.distance(["a", "b"], ["a", "c", "b"]) == 1 and C.choose([("", 1, [0])], "weight") == 0
+def test_the_vote_runs_over_weights_that_fall_with_trust():
+    vals = [("LOAD_X2", 1.0, [0.3, "c"], 0), ("LOAD.X2", 1.0, [0.1, "b"], 1), ("LOAD_X2 ", 1.0, [0.2, "a"], 2), ("LOAD_X9", 0.5, [0.0, "0"], 3)]
+    assert vals[C.choose(vals, 1)][0] == "LOAD_X2 "  # the majority in each column, the more trusted of its two spellings
+    assert vals[C.choose(vals, 2)][0] == "LOAD_X9"  # the first outweighs all others
+    # In between, weights 1, .67, .44 and .3: the second and third change the last column, the mark stays the first's.
+    prof, every = C.group_profile(vals)
+    assert C.consensus(prof, every, 2) == ["LOAD", "_", "X", "9"] and C.consensus(prof, every, 1.5) == ["LOAD", "_", "X", "2"]
+    assert vals[C.choose(vals, 1.5)][0] == "LOAD_X2 "
+    p, every = C.group_profile([("a b c", 1, [0, "x"], 0), ("a c", 1, [1, "y"], 1), ("a b c", 1, [2, "z"], 2)])
+    assert C.consensus(p, every, 1) == ["a", "b", "c"] and len(p) == 3
+    assert C.distance(["a", "b"], ["a", "c", "b"]) == 1 and C.choose([("", 1, [0, "x"], 0)], 1) == 0
+
+
+def test_no_number_of_others_outweighs_the_first():
+    vals = [("A 1", 1.0, [0.0, "a"], 0), *((f"A {2 + i % 2}", 9.0, [1.0, f"b{i:04d}"], i % 64) for i in range(500))]
+    assert vals[C.choose(vals, 2)][0] == "A 1" and vals[C.choose(vals, 1)][0] == "A 2"
 
 
 def _survivors(spark, rows, **kw):
@@ -49,12 +59,44 @@ def test_survivors_against_brute_force_in_one_go_and_in_chunks(spark):
     assert _survivors(spark, []) == {} and _survivors(spark, rows[:1]) == {}
 
 
-def test_weights_choose_the_majority_in_chunks_too(spark):
-    rows = [(f"a{n}", "k", v, 0.5, "") for n, v in enumerate(["LOAD_X2 R"] * 5 + ["LOAD.X2 R", "L0AD_X2 R", "LOAD_X2"])]
+def test_both_ways_give_the_same_answers(spark):
+    rnd = random.Random(8)
+    words = ["LOAD", "X", "2", "_", ".", "R", "17"]
+    rows = [(f"a{n:04d}", rnd.choice("kkklm"), "".join(rnd.choice(words + [" "]) for _ in range(rnd.randrange(0, 7))), rnd.choice([0.5, rnd.random()]), "") for n in range(400)]
+    df = spark.createDataFrame(rows, "id string, k string, v string, conf double, extra string")
+    for fall in (1.0, 1.3, 2.0):
+        got = []
+        for kw in ({}, {"direct": 1}):
+            out = C.consensus_survivors(df, {"k": F.col("k")}, F.col("id"), [-F.col("conf")], {"v": (F.col("v"), F.lit(True)), "some": (F.col("v"), F.col("v").contains("X"))}, fall=fall, chunks=8, **kw)
+            got.append(sorted(map(tuple, out.collect())))
+        assert got[0] == got[1] and len(got[0]) == 3
+    many = [(f"a{n}", "k", v, 0.5, "") for n, v in enumerate(["LOAD_X2 R"] * 5 + ["LOAD.X2 R", "L0AD_X2 R", "LOAD_X2"])]
+    df = spark.createDataFrame(many, "id string, k string, v string, conf double, extra string")
     for kw in ({}, {"direct": 1, "chunks": 2}):
-        df = spark.createDataFrame(rows, "id string, k string, v string, conf double, extra string")
-        out = C.consensus_survivors(df, {"k": F.col("k")}, F.col("id"), [F.lit(0.0)], {"v": (F.col("v"), F.lit(True))}, by="weight", **kw)
-        assert out.first()["v"] == "LOAD_X2 R"
+        assert C.consensus_survivors(df, {"k": F.col("k")}, F.col("id"), [F.lit(0.0)], {"v": (F.col("v"), F.lit(True))}, fall=1, **kw).first()["v"] == "LOAD_X2 R"
+
+
+def test_the_plain_vote_finds_majorities(spark, duck):  # noqa: F811
+    """Where more than half of a group's records agree on a spelling, it is the consensus."""
+    from pagelode.llm.queries import _p1
+
+    got = {r["group_id"]: r["name"] for r in _p1(spark, BASE, [], 1.0).collect()}
+    groups = {}
+    sql = """SELECT DISTINCT trace_id, document_id, regexp_replace(lower(coalesce(instruction_name, '')), '[^\\p{L}\\p{N}]', '', 'g'),
+      nullif(regexp_replace(lower(coalesce(variation, '')), '[^\\p{L}\\p{N}]', '', 'g'), ''), instruction_name FROM instruction_catalog"""
+    for t, d, n, v, name in duck.execute(sql).fetchall():
+        groups.setdefault((d, n, v), []).append((t, name or ""))
+    clear = same = 0
+    for g in groups.values():
+        counts = {}
+        for _, name in g:
+            key = tuple(C.tokens(name))
+            counts[key] = counts.get(key, 0) + 1
+        top = max(counts.values())
+        if len(g) > 1 and 2 * top > len(g):
+            clear += 1
+            same += counts[tuple(C.tokens(got[min(g)[0]]))] == top
+    assert clear > 20 and same == clear
 
 
 # --- scanned pages -------------------------------------------------------------------------------------
