@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 #: Separators, quotation marks with their closing marks, bracket pairs.
 SEPARATORS = ",;|/\n\r\t、；，｜"
 QUOTES = {'"': '"', "'": "'", "“": "”", "„": "“", "‘": "’", "«": "»"}
-BRACKETS = {"[": "]", "(": ")", "{": "}", "<": ">"}
+BRACKETS = {"[": "]", "(": ")", "{": "}"}
 
-_CLOSERS = {v: k for k, v in BRACKETS.items() if k != "<"}
-_OPENERS = {k for k in BRACKETS if k != "<"}
+_CLOSERS = {v: k for k, v in BRACKETS.items()}
+_OPENERS = set(BRACKETS)
 _LEX = re.compile(
     r"[" + re.escape(SEPARATORS) + r"]"
     r"|[" + re.escape("".join(_OPENERS) + "".join(_CLOSERS)) + r"]"
@@ -29,7 +29,8 @@ _LEX = re.compile(
 )
 _NUMBER = r"[-+]?(?:0[xX][0-9A-Fa-f]+|0[bB][01]+|\d+(?:\.\d+)?)"
 _INTERVAL_INSIDE = re.compile(rf"\s*{_NUMBER}\s*[,;]\s*{_NUMBER}\s*")
-_LEADING_WORD = re.compile(r"[^\W\d]\w*(?:\s+\w+){0,2}\s*[:=]?\s*(?=[\[({])")
+#: Words before a list in brackets, as many as there are.
+_LEADING_WORD = re.compile(r"[^\W\d]\w*(?:\s+\w+)*\s*[:=]?\s*(?=[\[({])")
 _LABEL_END = re.compile(r"[=:]\s*$")
 
 
