@@ -63,8 +63,6 @@ def p5_found(spark: SparkSession, base: str) -> DataFrame:
     right = table(spark, base, "instruction_catalog_mirror").select(
         "trace_id", "instruction_name", "opcode_value", "execution_unit", "synced_at"
     )
-    # A bucket serves about a thousand rows: its cells reveal differences in one of seven of them.
-    buckets = max(64, left.count() // 1000)
     return table_diff(
         left,
         right,
@@ -77,8 +75,6 @@ def p5_found(spark: SparkSession, base: str) -> DataFrame:
         "catalog",
         "mirror",
         latest=F.col("synced_at"),
-        buckets=buckets,
-        cells=384,
     )
 
 
