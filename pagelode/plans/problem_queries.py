@@ -120,10 +120,25 @@ WITH refs AS (
   FROM judged
 )"""
 
+#: An item of a list: quoted runs, bracketed runs and anything but separators.
+_ITEM = r"""(?:"(?:[^"]|"")*"|“[^”]*”|''(?:[^'']|'''')*''|„[^”]*”|‘[^’]*’|«[^»]*»|\[[^\]]*\]|\([^)]*\)|\{[^}]*\}|[^,;|/\n\r\t、；，｜])+"""
+_P3_BASE = rf"""
+WITH d AS (SELECT DISTINCT trace_id, lower(trim(coalesce(allowed_value_form, ''))) AS form, regexp_replace(allowed_values_or_range, '^\s+|\s+$', '', 'g') AS s FROM field_domain_catalog),
+u AS (SELECT trace_id, form, regexp_replace(s, '^[\p{{L}}_]\w*(?:\s+\w+)*\s*[:=]?\s*([\[({{].*[\])}}])$', '\1', 's') AS s FROM d WHERE s <> '' AND form <> 'other'),
+w AS (SELECT trace_id, form, CASE WHEN regexp_full_match(s, '[\[({{](?s:.*)[\])}}]') AND NOT (form = 'range' AND regexp_full_match(s, '[\[(]\s*[-+]?\w+\s*[,;]\s*[-+]?\w+\s*[\])]'))
+    AND NOT regexp_matches(regexp_replace(substring(s, 2, length(s) - 2), '"(?:[^"]|"")*"|“[^”]*”', '', 'g'), '[\[\](){{}}]') THEN substring(s, 2, length(s) - 2) ELSE s END AS s FROM u),
+l AS (SELECT trace_id, list_filter(list_transform(CASE WHEN form = 'range' AND regexp_full_match(s, '[\[(][^\[\]()]*[\])]') THEN [s] ELSE regexp_extract_all(s, '{_ITEM}') END, lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13))), lambda x: x <> '') AS items FROM w),
+q AS (SELECT trace_id, list_transform(items, lambda x: CASE WHEN regexp_full_match(x, '"(?:[^"]|"")*"') THEN replace(substring(x, 2, length(x) - 2), '""', '"')
+    WHEN regexp_full_match(x, '“[^”]*”|‘[^’]*’|„[^”]*”|«[^»]*»') THEN substring(x, 2, length(x) - 2)
+    WHEN regexp_full_match(x, '''(?:[^'']|'''')*''') THEN replace(substring(x, 2, length(x) - 2), '''''', '''') ELSE x END) AS items FROM l),
+v AS (SELECT trace_id, i AS pos, items[i] AS val, len(items) AS n_vals FROM (SELECT trace_id, items, unnest(range(1, len(items) + 1)) AS i FROM q))"""
+
 ORACLE = {
     "p2_found": _P2_BASE + " SELECT table_name, ref_field, trace_id, kind FROM broken WHERE kind IS NOT NULL",
     "p2_report": _P2_BASE
     + " SELECT table_name, ref_field, strftime(ts, '%Y-%m') AS month, kind, count(*) AS n_refs FROM broken WHERE kind IS NOT NULL GROUP BY ALL",
+    "p3_found": _P3_BASE + " SELECT trace_id, pos, val FROM v WHERE n_vals >= 2",
+    "p3_values": _P3_BASE + " SELECT trace_id, pos, val, n_vals FROM v",
     "p5_found": rf"""
 WITH cat AS (
   SELECT DISTINCT trace_id, {_f('instruction_name')} AS nm, opcode_value::DOUBLE AS op, {_f('execution_unit')} AS un FROM instruction_catalog
