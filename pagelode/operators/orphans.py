@@ -202,7 +202,7 @@ def _slots(spans: DataFrame, key: list[str], always: Column) -> tuple[DataFrame,
     Per key: first_start, slot_from, slot_width, n_slots. Per key and slot: the spans that start in it, and
     ``before``, the latest end of those that start in earlier slots.
     """
-    own = spans.groupBy(*key, "start").agg(F.max("end").alias("end"))
+    own = materialize(spans.groupBy(*key, "start").agg(F.max("end").alias("end")), "orphan-spans")
     dated = F.when(F.col("start") > always, F.unix_micros("start"))
     sizes = own.groupBy(*key).agg(
         F.min("start").alias("first_start"), F.coalesce(F.min(dated), F.lit(0)).alias("slot_from"), F.coalesce(F.max(dated), F.lit(0)).alias("_to"),
