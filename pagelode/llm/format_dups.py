@@ -1,4 +1,7 @@
-"""Duplicates hidden by formatting: canonical form, 128-bit hash, counts with map-side combining."""
+"""Duplicates hidden by formatting: canonical form, 128-bit hash, counts with map-side combining.
+
+A third hash checks for collisions: records with equal 128 bits but another check are told apart, not merged.
+"""
 
 from __future__ import annotations
 
@@ -37,19 +40,11 @@ def with_format_hash(df: DataFrame, exact: list[Column], canonical: list[Column]
 
 
 def format_groups(hashed: DataFrame, row_id: str) -> DataFrame:
-    """One row per distinct record: (h1, h2, keep, last, n_rows). Fails if two different records share 128 bits.
+    """One row per distinct record: (h1, h2, h3, keep, last, n_rows); h3 keeps records apart whose 128 bits collide.
 
     All aggregates are partial on the map side, so a record written a billion times is one row per task.
     """
-    g = hashed.groupBy("h1", "h2").agg(
-        F.min(row_id).alias("keep"),
-        F.max(row_id).alias("last"),
-        F.count("*").alias("n_rows"),
-        F.min("h3").alias("_lo"),
-        F.max("h3").alias("_hi"),
-    )
-    clash = F.when(F.col("_lo") != F.col("_hi"), F.raise_error(F.lit("128-bit collision; choose another seed")).cast("bigint"))
-    return g.withColumn("n_rows", F.coalesce(clash, F.col("n_rows"))).drop("_lo", "_hi")
+    return hashed.groupBy("h1", "h2", "h3").agg(F.min(row_id).alias("keep"), F.max(row_id).alias("last"), F.count("*").alias("n_rows"))
 
 
 def format_copies(df: DataFrame, row_id: str, exact: list[Column], canonical: list[Column], seed: str = "") -> DataFrame:
@@ -60,14 +55,8 @@ def format_copies(df: DataFrame, row_id: str, exact: list[Column], canonical: li
     join back is one small row against the set's rows, which adaptive execution splits.
     """
     hashed = with_format_hash(df.filter(F.col(row_id).isNotNull()), exact, canonical, seed).select("h1", "h2", "h3", F.col(row_id).alias("_id"))
-    groups = format_groups(hashed, "_id").filter("keep <> last").select("h1", "h2", "keep", "n_rows")
-    return (
-        hashed.select("h1", "h2", F.col("_id").alias("copy"))
-        .join(groups, ["h1", "h2"])
-        .filter("copy <> keep AND n_rows > 0")
-        .select("keep", "copy")
-        .distinct()
-    )
+    groups = format_groups(hashed, "_id").filter("keep <> last").select("h1", "h2", "h3", "keep")
+    return hashed.withColumnRenamed("_id", "copy").join(groups, ["h1", "h2", "h3"]).filter("copy <> keep").select("keep", "copy").distinct()
 
 
 def format_collapsed(df: DataFrame, row_id: str, exact: list[Column], canonical: list[Column], seed: str = "") -> DataFrame:
