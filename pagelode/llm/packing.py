@@ -3,8 +3,8 @@
 Best-fit decreasing needs to know lengths only, not documents: the histogram (at most capacity + 1 rows)
 is planned on the driver, class by class of containers that are filled alike. The plan is a list of
 runs of slots per length, and a document takes the slot of its rank among the documents of its length. Ranks
-come from salted counts and offsets, so a length that a third of all documents share is still ranked in
-many tasks.
+come from salted counts and offsets, with as many salts as the count of a length asks for, so a length that a third
+of all documents share is still ranked in many tasks.
 """
 
 from __future__ import annotations
@@ -111,11 +111,11 @@ def measured_pieces(docs: DataFrame, doc_id: str, text: str, capacity: int, voca
     return src.mapInArrow(run, "doc_id bigint, piece int, start int, end int, n_tokens int")
 
 
-def pack(items: DataFrame, capacity: int, salts: int = 64) -> DataFrame:
+def pack(items: DataFrame, capacity: int, per_salt: int = 100_000) -> DataFrame:
     """Adds ``container`` and its ``fill`` to items (doc_id, piece, n_tokens <= capacity).
 
     Items of no tokens need no slot: they go to container 0. An empty table gives an empty result; equal rows
-    take slots of their own. ``salts`` only spreads the ranking; any value gives a full plan.
+    take slots of their own. ``per_salt`` is about how many items of a length one task ranks; any value gives a full plan.
     """
     spark = items.sparkSession
     hist = {r["n_tokens"]: r["n"] for r in items.filter("n_tokens > 0").groupBy("n_tokens").agg(F.count("*").alias("n")).collect()}
@@ -123,13 +123,14 @@ def pack(items: DataFrame, capacity: int, salts: int = 64) -> DataFrame:
     plan = spark.createDataFrame(runs or [(0, 0, -1, 0, 1, 0)], "n_tokens int, lo bigint, hi bigint, base bigint, items int, fill int")
     fill0 = next((r[5] for r in runs if r[3] == 0), 0)
 
-    salted = items.filter("n_tokens > 0").withColumn("_s", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
+    # One row per length, at most ``capacity`` of them; likewise the plan has a few runs per length, whatever the counts.
+    salts = spark.createDataFrame([(n, -(-c // per_salt)) for n, c in hist.items()], "n_tokens int, _salts bigint")
+    salted = items.filter("n_tokens > 0").join(F.broadcast(salts), "n_tokens").withColumn("_s", F.pmod(F.xxhash64("doc_id", "piece"), "_salts"))
     counts = salted.groupBy("n_tokens", "_s").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("n_tokens").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("n_tokens", "_s", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
     own = Window.partitionBy("n_tokens", "_s").orderBy("doc_id", "piece")
-    # offsets has at most capacity * salts rows, the plan a few per length: both are bounded by parameters.
-    ranked = salted.withColumn("_r", F.row_number().over(own) - 1).join(F.broadcast(offsets), ["n_tokens", "_s"])
+    ranked = salted.withColumn("_r", F.row_number().over(own) - 1).join(offsets, ["n_tokens", "_s"])
     ranked = ranked.withColumn("_rank", F.col("_r") + F.col("_o"))
     placed = ranked.join(F.broadcast(plan), "n_tokens").filter("_rank BETWEEN lo AND hi")
     cols = items.columns
