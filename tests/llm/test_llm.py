@@ -163,12 +163,11 @@ def test_copies_and_counts(spark):
     assert format_copies(df.filter("false"), "id", *parts).count() == 0
 
 
-def test_collisions_are_not_passed_over(spark):
+def test_collisions_are_told_apart(spark):
     from pagelode.llm.format_dups import format_groups
 
-    df = spark.createDataFrame([(1, 1, 5, "a"), (1, 1, 6, "b")], "h1 bigint, h2 bigint, h3 bigint, id string")
-    with pytest.raises(Exception, match="collision"):
-        format_groups(df, "id").collect()
+    df = spark.createDataFrame([(1, 1, 5, "a"), (1, 1, 6, "b"), (1, 1, 5, "c")], "h1 bigint, h2 bigint, h3 bigint, id string")
+    assert sorted((r["keep"], r["n_rows"]) for r in format_groups(df, "id").collect()) == [("a", 2), ("b", 1)]
 
 
 # --- leakage --------------------------------------------------------------------------------------------
@@ -196,19 +195,34 @@ def test_search_against_brute_force(spark):
     want = {(d, i) for d, t in docs for r in [runs(t)] for i, q in known if r & q}
     a = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("item_id", F.lit(0))
     b = spark.createDataFrame(items, "item_id bigint, text string")
-    for block in (1000, 5):
-        got = [tuple(r) for r in leaked_items(a, b, "doc_id", "text", "item_id", "text", block_items=block).collect()]
+    for block in (100_000, 300):
+        got = [tuple(r) for r in leaked_items(a, b, "doc_id", "text", "item_id", "text", block_chars=block).collect()]
         assert len(got) == len(set(got)) and set(got) == want and want
     assert leaked_items(a, b.filter("false"), "doc_id", "text", "item_id", "text").count() == 0
 
 
 def test_shift_tables():
-    s = WuManber({1: [f"a{i}" for i in range(15)]}, 12)
-    assert s.shift[("a0", "a1")] == 10 and s.shift[("a10", "a11")] == 0 and s.jump == 11
-    assert s.search(["x"] * 30 + [f"a{i}" for i in range(3, 15)] + ["x"]) == {1}
+    s = WuManber([(1, " ".join(f"a{i}" for i in range(15)))], 12)
+    shift = lambda a, b: s.table[s.known[a] * s.base + s.known[b]]
+    assert shift("a0", "a1") == 10 and shift("a9", "a10") == 1 and shift("a10", "a11") < 0 and s.jump == 11
+    assert s.search(["x"] * 30 + [f"a{i}" for i in range(3, 15)] + ["x"]) == {1} and s.search([f"a{i}" for i in range(3, 14)] + ["x"]) == set()
+    assert WuManber([], 12).search(["x"] * 40) == set() and WuManber([(1, "too short")], 12).search(["too", "short"] * 9) == set()
     assert words("Straße STRASSE a_b") == ["strasse", "strasse", "a", "b"]
 
 
+def test_a_full_block_fits_a_worker():
+    import tracemalloc
+
+    rnd = random.Random(1)
+    vocab = [f"w{i}" for i in range(20_000)]
+    texts = [(i, " ".join(rnd.choices(vocab, k=300))) for i in range(500)]
+    tracemalloc.start()
+    s = WuManber(texts, 12)
+    used = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert used / 150_000 < 250 and s.search(words(texts[7][1])) == {7}
+
+
 # --- packing and splitting ------------------------------------------------------------------------------
 
 
@@ -260,8 +274,8 @@ def test_containers(spark):
         assert len(g) == 1 or vocab.count(t) > 512
     total = out["n_tokens"].sum()
     assert fills.size <= -(-total // 512) * 1.1 + 1
-    a, b = pack(measured_pieces(docs, "doc_id", "text", 512), 512, salts=1).toPandas(), out
-    assert a["container"].nunique() == b["container"].nunique()
+    a, b = pack(measured_pieces(docs, "doc_id", "text", 512), 512, per_salt=3).toPandas(), out
+    assert a["container"].nunique() == b["container"].nunique() and (a.groupby("container")["n_tokens"].sum() == a.groupby("container")["fill"].first()).all()
     assert packed_documents(docs.filter("false"), "doc_id", "text", 512).count() == 0
 
 
