@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,11 +48,12 @@ class OcrRules:
     min_known: int = 5  # occurrences of a word that others may be corrected to
     ratio: int = 10  # how many times more frequent it must be
     min_support: int = 3  # different words that must show a confusion of letters alone
-    edge_lines: int = 2  # outermost lines looked at on either edge of a page
-    min_pages: int = 2  # pages of a document on which a running line stands
-    doc_share: float = 0.005  # or this share of its scanned pages, if more
-    corpus_pages: int = 3  # pages of the corpus on which a running line of several documents stands
-    corpus_share: float = 0.001
+    sound_share: float = 0.1  # of the rate of a word in scanned text that it must reach in sound text to be trusted
+    edge_lines: int = 2  # outermost lines of a page looked at for themselves; deeper ones only behind noise
+    near_pages: int = 64  # pages within which a running line stands again
+    near_share: float = 0.5  # of its pages in a document that must have it again so near
+    other_docs: int = 2  # documents with a running line that make it one in others too,
+    other_share: float = 0.25  # if they are this share of the documents that have it at an edge
 
 
 def _key(word: str) -> str:
@@ -72,50 +74,6 @@ def _roman(text: str) -> int | None:
     return sum(-a if a < b else a for a, b in zip(ns, [*ns[1:], 0]))
 
 
-@dataclass(frozen=True)
-class OcrRules:
-    """Thresholds; all counts are over the whole corpus."""
-
-    common: int = 20_000  # words kept in every worker to skip what needs no look-up (no effect on results)
-    min_known: int = 5  # occurrences of a word that others may be corrected to
-    ratio: int = 10  # how many times more frequent it must be
-    min_support: int = 3  # different words that must show a confusion of letters alone
-    edge_lines: int = 2  # outermost lines looked at on either edge of a page
-    min_pages: int = 2  # pages of a document on which a running line stands
-    doc_share: float = 0.005  # or this share of its scanned pages, if more
-    corpus_pages: int = 3  # pages of the corpus on which a running line of several documents stands
-    corpus_share: float = 0.001
-
-
-def _key(word: str) -> str:
-    """Lower case, except where capitals stand with digits or signs: those may be identifiers of their own."""
-    return word if word.isupper() and not word.isalpha() else word.lower()
-
-
-def _clean(token: str) -> str:
-    return _key(token.strip(_EDGE_PUNCT))
-
-
-def _roman(text: str) -> int | None:
-    m = _ROMAN.fullmatch(text)
-    if not m or not text:
-        return None
-    values = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
-    ns = [values[c] for c in text]
-    return sum(-a if a < b else a for a, b in zip(ns, [*ns[1:], 0]))
-
-
-def _page_values(parts: pd.Series) -> pd.Series:
-    out = []
-    for t in parts:
-        m = _PAGE_NO.fullmatch(t)
-        out.append(None if not m else int(m[1]) if m[1] else _roman(m[2]))
-    return pd.Series(out, dtype="Int64")
-
-
-page_value = F.pandas_udf(_page_values, T.LongType())
-
-
 def _ordinary(word: str) -> bool:
     """A word that may be misread: it has a letter, and is no identifier, opcode or number."""
     return len(word) > 1 and not _IDENT.search(word) and any(c.isalpha() for c in word)
@@ -188,31 +146,51 @@ def word_counts(blocks: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("n_sound", "n_ocr", "n_joined")))
 
 
-def _remainders(words: DataFrame, name: str, cuts: tuple[int, ...]) -> DataFrame:
-    """(at, rest, cut, word): the anagram hash of a word without 1 or 2 neighbouring characters, per position."""
+#: Confusions looked for, as characters read and meant: one for one, one for two, two for one.
+_CUTS = ((1, 1), (1, 2), (2, 1))
+
+
+def _remainders(words: DataFrame, name: str, side: int) -> DataFrame:
+    """(meet, at, cut, word): the anagram hash of a word without 1 or 2 neighbouring characters, per position.
+
+    ``meet`` also holds the place, what follows it and the kind of confusion, so that only words of fitting length meet:
+    as many as the alphabet has characters to differ in, however many words there are.
+    """
     value = "transform(split(lower(word), ''), c -> shiftright(xxhash64(c), 16))"
     v = words.withColumn("_v", F.expr(value)).withColumn("_h", F.expr("aggregate(_v, 0L, (a, x) -> a + x)"))
     each = [
-        f"if(size(_v) > {c}, transform(sequence(0, size(_v) - {c}), i -> struct(i AS at, _h - aggregate(slice(_v, i + 1, {c}), 0L, (a, x) -> a + x) AS rest, {c} AS cut)), array())"
-        for c in cuts
+        f"if(size(_v) > {c[side]}, transform(sequence(0, size(_v) - {c[side]}), i -> struct(i AS at, {c[side]} AS cut, "
+        f"xxhash64(i, size(_v) - i - {c[side]}, {10 * c[0] + c[1]}, _h - aggregate(slice(_v, i + 1, {c[side]}), 0L, (a, x) -> a + x)) AS meet)), array())"
+        for c in _CUTS
     ]
     out = v.select("word", "n", F.explode(F.expr(f"concat({', '.join(each)})")).alias("_x"))
-    return out.select(F.col("word").alias(name), F.col("n").alias(f"n_{name}"), "_x.at", "_x.rest", F.col("_x.cut").alias(f"cut_{name}"))
+    return out.select(F.col("word").alias(name), F.col("n").alias(f"n_{name}"), "_x.meet", F.col("_x.at").alias(f"at_{name}"), F.col("_x.cut").alias(f"cut_{name}"))
+
+
+def trusted(lexicon: DataFrame, rules: OcrRules) -> Column:
+    """Whether sound text vouches for a word: it has it twice, and not far more rarely than scanned text has it.
+
+    A rate, since in enough sound text every misreading occurs by chance.
+    """
+    n = lexicon.agg(F.coalesce(F.sum("n_sound"), F.lit(0)).alias("s"), F.coalesce(F.sum("n_ocr"), F.lit(0)).alias("o")).first()
+    return (F.col("n_sound") >= 2) & (F.col("n_sound") * float(n["o"]) >= F.col("n_ocr") * (rules.sound_share * n["s"]))
+
+
+#: Letters without case count as lower case: a word of them may be meant too. Ligatures are never meant.
+_LETTER = r"\p{Ll}\p{Lo}\p{M}"
 
 
 def corrections(lexicon: DataFrame, rules: OcrRules = OcrRules()) -> DataFrame:
     """Ranked corrections, one per rare word: (word, fix, at, seg): ``seg`` characters from ``at`` (0-based) are misread.
 
-    A word is trusted, and never corrected, if sound blocks have it at least twice.
+    A trusted word is never corrected.
     """
     n = F.col("n_sound") + F.col("n_ocr")
     words = lexicon.filter(~F.col("word").contains("-"))
-    known = words.filter(F.col("word").rlike(r"^[\p{Ll}&&[^ﬀ-ﬆ]]{2,}$") & (n >= rules.min_known)).select("word", n.alias("n"))
-    rare = words.filter(F.col("n_sound") < 2).select("word", n.alias("n"))
-    r, k = _remainders(rare, "rare", (1, 2)), _remainders(known, "known", (1, 2))
-    met = r.join(k, ["at", "rest"]).filter(
-        "cut_rare + cut_known < 4 AND n_known >= n_rare * {0} AND rare <> known".format(rules.ratio)
-    )
+    known = words.filter(F.col("word").rlike(rf"^[{_LETTER}&&[^ﬀ-ﬆ]]{{2,}}$") & (n >= rules.min_known)).select("word", n.alias("n"))
+    rare = words.filter(~trusted(lexicon, rules)).select("word", n.alias("n"))
+    r, k = _remainders(rare, "rare", 0), _remainders(known, "known", 1)
+    met = r.join(k, "meet").filter(f"n_known >= n_rare * {rules.ratio} AND rare <> known AND at_rare = at_known").withColumnRenamed("at_rare", "at").drop("at_known", "meet")
     met = met.filter(
         "left(lower(rare), at) = left(known, at) AND substring(lower(rare), at + cut_rare + 1) = substring(known, at + cut_known + 1)"
     ).withColumns({"wrong": F.expr("substring(lower(rare), at + 1, cut_rare)"), "right": F.expr("substring(known, at + 1, cut_known)")})
@@ -222,7 +200,7 @@ def corrections(lexicon: DataFrame, rules: OcrRules = OcrRules()) -> DataFrame:
     both_ways = met.select("wrong", "right", "rare").unionByName(met.select(F.col("right").alias("wrong"), F.col("wrong").alias("right"), "rare"))
     support = both_ways.groupBy("wrong", "right").agg(F.count_distinct("rare").alias("support"))
     ranked = met.join(support, ["wrong", "right"])
-    strange = F.col("wrong").rlike(r"[^\p{Ll}]|[ﬀ-ﬆ]")
+    strange = F.col("wrong").rlike(rf"[^{_LETTER}]|[ﬀ-ﬆ]")
     ranked = ranked.filter(strange | (F.col("support") >= rules.min_support))
     best = ranked.groupBy("rare").agg(
         F.max_by(F.struct("known", "at", F.col("cut_rare").alias("seg")), F.struct("support", "n_known", "known")).alias("b")
@@ -233,6 +211,12 @@ def corrections(lexicon: DataFrame, rules: OcrRules = OcrRules()) -> DataFrame:
     return out.join(second, "fix", "left").select("word", F.coalesce("fix2", "fix").alias("fix"), "at", "seg")
 
 
+def _may_run(line: str) -> bool:
+    """A line that may be a running line or a page number: it ends like no sentence, or a part of it is a number."""
+    line = line.strip()
+    return line[-1] not in ".,:;" or any(_PAGE_NO.fullmatch(x.strip().lower()) for x in _PARTS.split(line))
+
+
 def _scan(batches: Iterator[pa.RecordBatch], common: frozenset, edge: int) -> Iterator[pa.RecordBatch]:
     """Rows to look up: (document_id, page, block_id, line, role, side, word, cut); for edges ``word`` is the line."""
     names = ["document_id", "page", "block_id", "line", "role", "side", "word", "cut"]
@@ -281,27 +265,25 @@ def _scan(batches: Iterator[pa.RecordBatch], common: frozenset, edge: int) -> It
             for i, j in enumerate(full[: -edge - 1 : -1]):
                 sides[j] = sides.get(j, "") + f"B{i}"
             for j, side in sides.items():
-                line = line_of[j].strip()
-                if len(line) <= 400 and (line[-1] not in ".,:;" or any(_PAGE_NO.fullmatch(x.strip().lower()) for x in _PARTS.split(line))):
-                    rows.append((d, p, k, j + 1, "edge", side, line, None))
+                if _may_run(line_of[j]):
+                    rows.append((d, p, k, j + 1, "edge", side, line_of[j].strip(), None))
+            # Deeper lines of a header or footer, as one row: they count only if all before them turn out to be noise.
+            for side, inward in (("T", full), ("B", full[::-1])):
+                if len(full) > edge and all(_may_run(line_of[j]) for j in inward[: edge + 1]):
+                    deep = list(itertools.takewhile(lambda j: _may_run(line_of[j]), inward[edge:]))
+                    rows.append((d, p, k, deep[0] + 1, "deep", side, "\n".join(f"{j + 1} {line_of[j].strip()}" for j in deep), None))
         cols = list(zip(*rows)) or [[]] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=names)
 
 
-def ocr_noise(blocks: DataFrame, rules: OcrRules = OcrRules()) -> DataFrame:
-    """Noise of scanned blocks: (document_id, page, block_id, line_no, noise, word, fix).
-
-    ``blocks``: (document_id, page, block_id, top double, is_ocr boolean, text). noise is ``hyphen`` (word: the joined
-    word), ``misread`` (word, fix), ``running`` or ``page_number``; a line may have several, and several misread words.
-    Null and empty texts have no lines of interest; blocks delivered twice come out once; null pages
-    make pages of their own; an empty table gives an empty result. Texts of any length are read line by line.
-    """
+def _noise(blocks: DataFrame, rules: OcrRules) -> DataFrame:
+    """Rows of :func:`ocr_noise`, some of them repeated."""
     spark = blocks.sparkSession
     ok = blocks.filter("document_id IS NOT NULL AND block_id IS NOT NULL AND text IS NOT NULL")
     lexicon = materialize(word_counts(ok), "lexicon")
     total = F.col("n_sound") + F.col("n_ocr")
     # The most frequent trusted words, a bounded number, spare look-ups; they are never corrected.
-    top = lexicon.filter("n_sound >= 2").orderBy(total.desc(), "word").limit(rules.common)
+    top = lexicon.filter(trusted(lexicon, rules)).orderBy(total.desc(), "word").limit(rules.common)
     common = spark.sparkContext.broadcast(frozenset(r["word"] for r in top.select("word").collect()))
     fixes = materialize(corrections(lexicon, rules), "corrections")
 
@@ -331,27 +313,39 @@ def ocr_noise(blocks: DataFrame, rules: OcrRules = OcrRules()) -> DataFrame:
     joins = joins | ((F.col("n_whole") == 0) & (F.col("soft") | ~((F.col("n_left") > 0) & (F.col("n_right") > 0))))
     decided = decided.withColumn("hyphen", joins)
 
-    def mis(source: DataFrame, s: str, line: Column) -> DataFrame:
-        return source.filter(F.col(f"{s}.fix").isNotNull()).select(
-            "document_id", "page", "block_id", line.alias("line_no"), F.lit("misread").alias("noise"), F.col(f"{s}.word").alias("word"), F.col(f"{s}.fix").alias("fix")
-        )
-
-    here, after = F.col("line"), F.col("line") + 1
-    broken = decided.filter("hyphen")
-    compound = decided.filter("NOT hyphen")
-    hyphens = broken.select("document_id", "page", "block_id", here.alias("line_no"), F.lit("hyphen").alias("noise"), F.col("j.word").alias("word"), F.col("j.fix").alias("fix"))
+    def row(when: Column, line: Column, noise: str, part: str) -> Column:
+        return F.when(when, F.struct(line.alias("line_no"), F.lit(noise).alias("noise"), F.col(f"{part}.word").alias("word"), F.col(f"{part}.fix").alias("fix")))
+
+    here, after, hyphen = F.col("line"), F.col("line") + 1, F.col("hyphen")
+    wrong = lambda part: F.col(f"{part}.fix").isNotNull()
+    each = F.array(
+        row(hyphen, here, "hyphen", "j"),
+        row(hyphen & wrong("j") & F.expr("j.at < j.cut"), here, "misread", "j"),
+        row(hyphen & wrong("j") & F.expr("j.at + j.seg > j.cut"), after, "misread", "j"),
+        row(~hyphen & wrong("l"), here, "misread", "l"),
+        row(~hyphen & wrong("r"), after, "misread", "r"),
+    )
+    broken = decided.select("document_id", "page", "block_id", F.explode(F.filter(each, lambda x: x.isNotNull())).alias("_x")).select("document_id", "page", "block_id", "_x.*")
     plain = materialize(looked.filter("role = 'plain'").join(fixes, "word").select(
         "document_id", "page", "block_id", here.alias("line_no"), F.lit("misread").alias("noise"), "word", "fix"
     ).distinct(), "misread")
-    misread = (
-        plain.unionByName(mis(broken.filter("j.at < j.cut"), "j", here))
-        .unionByName(mis(broken.filter("j.at + j.seg > j.cut"), "j", after))
-        .unionByName(mis(compound, "l", here))
-        .unionByName(mis(compound, "r", after))
-    )
+    return broken.unionByName(plain).unionByName(_edge_noise(ok, looked, plain, rules))
+
+
+def noisy_lines(blocks: DataFrame, rules: OcrRules = OcrRules()) -> DataFrame:
+    """(document_id, block_id, line_no, noise): the lines of :func:`ocr_noise`, once for each kind."""
+    return _noise(blocks, rules).select("document_id", "block_id", "line_no", "noise").distinct()
+
 
-    edges = _edge_noise(ok, looked.filter("role = 'edge'"), plain, rules)
-    return hyphens.unionByName(misread).unionByName(edges).distinct()
+def ocr_noise(blocks: DataFrame, rules: OcrRules = OcrRules()) -> DataFrame:
+    """Noise of scanned blocks: (document_id, page, block_id, line_no, noise, word, fix).
+
+    ``blocks``: (document_id, page, block_id, top double, is_ocr boolean, text). noise is ``hyphen`` (word: the joined
+    word), ``misread`` (word, fix), ``running`` or ``page_number``; a line may have several, and several misread words.
+    Null and empty texts have no lines of interest; blocks delivered twice come out once; null pages
+    make pages of their own; an empty table gives an empty result. Texts of any length are read line by line.
+    """
+    return _noise(blocks, rules).distinct()
 
 
 def _edge_parts(lines: pd.Series, repairs: pd.Series) -> pd.Series:
@@ -381,42 +375,71 @@ def _edge_noise(blocks: DataFrame, looked: DataFrame, misread: DataFrame, rules:
     extent = blocks.filter(F.length(F.trim("text")) > 0).groupBy(*page).agg(
         F.min(F.struct("top", "block_id")).alias("_first"), F.max(F.struct("top", "block_id")).alias("_last")
     ).select(F.col("document_id").alias("_d"), F.col("page").alias("_p"), F.col("_first.block_id").alias("first"), F.col("_last.block_id").alias("last"))
-    at_edge = looked.join(extent, F.col("document_id").eqNullSafe(F.col("_d")) & F.col("page").eqNullSafe(F.col("_p"))).filter(
+    outer = looked.filter("role IN ('edge', 'deep')").join(extent, F.col("document_id").eqNullSafe(F.col("_d")) & F.col("page").eqNullSafe(F.col("_p"))).filter(
         "(side LIKE '%T%' AND block_id = first) OR (side LIKE '%B%' AND block_id = last)"
     )
-    line = ["document_id", "block_id", "line"]
+    outer = materialize(outer.select(*page, "block_id", "line", "role", "side", F.col("word").alias("text")), "outer-lines")
     # A line holds few words, so its repairs are a short list.
     repairs = misread.groupBy("document_id", "block_id", F.col("line_no").alias("line")).agg(F.collect_list(F.struct("word", "fix")).alias("_rep"))
-    lines = at_edge.select(*page, "block_id", "line", F.col("word").alias("text")).join(repairs, line, "left")
-    parts = lines.select(*page, "block_id", "line", F.explode(_edge_udf("text", "_rep")).alias("_x")).select(
-        *page, "block_id", "line", "_x.part", (F.col("_x.number") - F.col("page")).alias("shift")
-    )
-    parts = materialize(parts, "edges")
+    parts = materialize(_line_parts(outer.filter("role = 'edge'"), repairs), "edges")
     # Printed numbers may be shifted against the page count, by the same amount all over a document.
     shifts = parts.filter("shift IS NOT NULL").groupBy("document_id", "shift").agg(F.count_distinct("page").alias("n"))
-    best = shifts.groupBy("document_id").agg(F.max_by("shift", F.struct("n", -F.abs(F.col("shift")))).alias("main"))
-    parts = parts.join(best, "document_id", "left").withColumn("is_number", F.coalesce((F.col("shift") == F.col("main")) | (F.col("shift") == 0), F.lit(False)))
-    numbers = parts.filter("is_number").select(*page, "block_id", F.col("line").alias("line_no"), F.lit("page_number").alias("noise"))
-
-    titles = parts.filter(~F.col("is_number") & F.col("part").rlike(r"\p{L}") & ~F.col("part").rlike(r"[.,:;]$"))
-    spot = F.struct("document_id", "page")
-    pages = blocks.filter("is_ocr").groupBy("document_id").agg(F.count_distinct("page").alias("doc_pages"))
-    in_doc = titles.groupBy("document_id", "part").agg(F.count_distinct("page").alias("n_doc"))
-    in_all = titles.groupBy("part").agg(F.count_distinct(spot).alias("n_all"))
-    all_pages = pages.agg(F.coalesce(F.sum("doc_pages"), F.lit(0)).alias("n")).first()["n"]
-    repeated = (
-        in_doc.join(in_all, "part").join(pages, "document_id")
-        .filter(
-            (F.col("n_doc") >= F.greatest(F.lit(float(rules.min_pages)), F.col("doc_pages") * rules.doc_share))
-            | (F.col("n_all") >= max(rules.corpus_pages, all_pages * rules.corpus_share))
-        )
-        .select("document_id", "part")
-    )
-    running = titles.join(repeated, ["document_id", "part"], "left_semi").select(
-        *page, "block_id", F.col("line").alias("line_no"), F.lit("running").alias("noise")
-    )
+    main = materialize(shifts.groupBy("document_id").agg(F.max_by("shift", F.struct("n", -F.abs(F.col("shift")))).alias("main")), "shifts")
+    found = materialize(_judged(parts, parts, main, rules), "edge-noise")
+
+    # Where all outermost lines of a side are noise, the lines behind them are looked at, as far as noise goes on.
+    at_side = outer.filter("role = 'edge'").select(*page, "block_id", "line", F.explode(F.array(*(F.when(F.contains("side", F.lit(x)), F.lit(x)) for x in "TB"))).alias("side"))
+    noisy = at_side.join(found.select("document_id", "block_id", F.col("line_no").alias("line")).distinct(), ["document_id", "block_id", "line"])
+    behind = noisy.groupBy("document_id", "block_id", "side").agg(F.count_distinct("line").alias("n")).filter(F.col("n") >= rules.edge_lines).drop("n")
+    deep = outer.filter("role = 'deep'").join(behind, ["document_id", "block_id", "side"]).select(*page, "block_id", "side", F.posexplode(F.split("text", "\n")).alias("depth", "text"))
+    deep = deep.withColumn("line", F.substring_index("text", " ", 1).cast("bigint")).withColumn("text", F.expr("substring(text, instr(text, ' ') + 1)"))
+    deep = materialize(deep, "deep-lines")
+    more = _line_parts(deep, repairs)
+    judged = materialize(_judged(more, parts.unionByName(more), main, rules), "deep-noise")
+    hit = judged.select("document_id", "block_id", F.col("line_no").alias("line"), F.lit(True).alias("_hit")).distinct()
+    stop = deep.join(hit, ["document_id", "block_id", "line"], "left").groupBy("document_id", "block_id", "side").agg(F.min(F.when(F.col("_hit").isNull(), F.col("depth"))).alias("_stop"))
+    going = deep.join(stop, ["document_id", "block_id", "side"]).filter("_stop IS NULL OR depth < _stop").select("document_id", "block_id", F.col("line").alias("line_no")).distinct()
     none = F.lit(None).cast("string")
-    return numbers.unionByName(running).withColumns({"word": none, "fix": none})
+    return found.unionByName(judged.join(going, ["document_id", "block_id", "line_no"], "left_semi")).withColumns({"word": none, "fix": none})
+
+
+def _line_parts(lines: DataFrame, repairs: DataFrame) -> DataFrame:
+    """(document_id, page, block_id, line, part, shift): parts of lines in corrected form; shift of a number against its page."""
+    joined = lines.select("document_id", "page", "block_id", "line", "text").join(repairs, ["document_id", "block_id", "line"], "left")
+    parts = joined.select("document_id", "page", "block_id", "line", F.explode(_edge_udf("text", "_rep")).alias("_x"))
+    return parts.select("document_id", "page", "block_id", "line", "_x.part", (F.col("_x.number") - F.col("page")).alias("shift"))
+
+
+def _judged(parts: DataFrame, evidence: DataFrame, main: DataFrame, rules: OcrRules) -> DataFrame:
+    """Lines of ``parts`` that are page numbers or running lines: (document_id, page, block_id, line_no, noise)."""
+    def sorted_out(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        d = df.join(main, "document_id", "left").withColumn("is_number", F.coalesce((F.col("shift") == F.col("main")) | (F.col("shift") == 0), F.lit(False)))
+        title = ~F.col("is_number") & F.col("part").rlike(r"\p{L}") & ~F.col("part").rlike(r"[.,:;]$")
+        return d.filter("is_number"), d.filter(title)
+
+    line = ["document_id", "page", "block_id", F.col("line").alias("line_no")]
+    numbers, titles = sorted_out(parts)
+    repeated = _running_parts(sorted_out(evidence)[1], rules)
+    running = titles.join(repeated, ["document_id", "part"], "left_semi").select(*line, F.lit("running").alias("noise"))
+    return numbers.select(*line, F.lit("page_number").alias("noise")).unionByName(running)
+
+
+def _running_parts(titles: DataFrame, rules: OcrRules) -> DataFrame:
+    """(document_id, part) of running lines: decided by how near a line stands again, whatever the size of document or corpus.
+
+    Pages are counted in stretches of ``near_pages``: with two or more pages in one, all are near; a lone page is if one in a
+    neighbouring stretch is. Other documents lend a line that stands in them too often to be chance.
+    """
+    w = rules.near_pages
+    by = ["document_id", "part"]
+    bins = titles.groupBy(*by, F.floor(F.col("page") / w).alias("_bin")).agg(F.count_distinct("page").alias("n"), F.min("page").alias("lo"), F.max("page").alias("hi"))
+    order = Window.partitionBy(*by).orderBy("_bin")
+    near = (F.col("lo") - F.lag("hi").over(order) <= w) | (F.lead("lo").over(order) - F.col("hi") <= w)
+    bins = bins.withColumn("_near", F.when((F.col("n") > 1) | near, F.col("n")).otherwise(0))
+    docs = bins.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("_near").alias("near"))
+    docs = materialize(docs.select(*by, ((F.col("near") >= 2) & (F.col("near") >= F.col("n") * rules.near_share)).alias("runs")), "running-parts")
+    lent = docs.groupBy("part").agg(F.count_if("runs").alias("k"), F.count("*").alias("d")).filter((F.col("k") >= rules.other_docs) & (F.col("k") >= F.col("d") * rules.other_share))
+    return docs.join(lent.select("part", F.lit(True).alias("_lent")), "part", "left").filter("runs OR _lent").select(*by)
 
 
 def repaired_text(text: str, drop: set[int], joined: dict[int, str], fixes: dict[tuple[int, str], str]) -> str:

@@ -9,7 +9,7 @@ from pagelode.functions.text import alnum_key
 from pagelode.llm.consensus import consensus_survivors
 from pagelode.llm.format_dups import canonical_name, canonical_parts, format_collapsed, format_copies, unordered
 from pagelode.llm.leakage import leaked_items
-from pagelode.llm.ocr_repair import ocr_noise, repair_blocks
+from pagelode.llm.ocr_repair import noisy_lines, repair_blocks
 from pagelode.llm.packing import packed_documents
 from pagelode.llm.splitting import split_documents
 from pagelode.llm.sql import ORACLE  # noqa: F401
@@ -72,7 +72,7 @@ def page_text(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, base: str) -> DataFrame:
-    return ocr_noise(page_text(spark, base)).select("document_id", "block_id", "line_no", "noise").distinct()
+    return noisy_lines(page_text(spark, base))
 
 
 def p4_repaired(spark: SparkSession, base: str) -> DataFrame:
