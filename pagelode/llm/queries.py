@@ -13,7 +13,7 @@ from pagelode.llm.ocr_repair import noisy_lines, repair_blocks
 from pagelode.llm.packing import packed_documents
 from pagelode.llm.splitting import split_documents
 from pagelode.llm.sql import ORACLE  # noqa: F401
-from pagelode.session import table
+from pagelode.session import materialize, table
 
 
 def _valid_confidence(c: Column) -> Column:
@@ -101,6 +101,33 @@ def p7_containers(spark: SparkSession, base: str) -> DataFrame:
     return packed_documents(table(spark, base, "documents").select("doc_id", "text"), "doc_id", "text", 2048)
 
 
+def p7_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    """What the containers hold, put together again: each text whole, no container overfull, every fill as stated."""
+    docs = table(spark, base, "documents").select("doc_id", "text")
+    packed = materialize(packed_documents(docs, "doc_id", "text", 2048), "containers")
+    fills = packed.groupBy("container").agg(F.sum("n_tokens").alias("held"), F.min("fill").alias("lo"), F.max("fill").alias("hi"))
+    wrong = fills.filter("held > 2048 OR held <> lo OR held <> hi").select("container")
+    parts = packed.join(wrong.withColumn("_wrong", F.lit(True)), "container", "left").groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct("piece", "start", "end"))).alias("spans"), F.count("_wrong").alias("n_misfilled")
+    )
+    return _put_together(docs.join(parts, "doc_id"), "n_misfilled")
+
+
+def p9_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    """The pieces without their overlaps, put together again: each text whole, no piece above the limit."""
+    docs = table(spark, base, "documents").select("doc_id", "text")
+    pieces = split_documents(docs, "doc_id", "text", 512, 64, all_texts=True)
+    parts = pieces.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("piece", "start", "end"))).alias("spans"), F.count_if(F.col("n_tokens") > 512).alias("n_too_long"))
+    return _put_together(docs.join(parts, "doc_id"), "n_too_long")
+
+
+def _put_together(docs: DataFrame, count: str) -> DataFrame:
+    """Texts from their spans (those of one text, in order), each from where the one before ended; a gap leaves text out."""
+    begin = F.expr("transform(spans, (s, i) -> if(i = 0, s.start, greatest(s.start, spans[i - 1].end)))")
+    text = F.array_join(F.transform(F.arrays_zip(begin.alias("a"), F.expr("spans.end").alias("z")), lambda x: F.substring("text", x["a"] + 1, x["z"] - x["a"])), "")
+    return docs.filter(F.length("text") > 0).select("doc_id", F.length("text").alias("n_chars"), F.md5(text).alias("digest"), count)
+
+
 def p8_found(spark: SparkSession, base: str) -> DataFrame:
     docs = table(spark, base, "documents").select("doc_id", "text")
     items = table(spark, base, "eval_items").select("item_id", "text")
@@ -122,4 +149,6 @@ QUERIES = {
     "p7_containers": p7_containers,
     "p8_found": p8_found,
     "p9_pieces": p9_pieces,
+    "p7_roundtrip": p7_roundtrip,
+    "p9_roundtrip": p9_roundtrip,
 }

@@ -40,6 +40,8 @@ ORACLE = {
     + """ SELECT * FROM (SELECT min(trace_id) OVER (PARTITION BY document_id, variation, word_index, a, b, bits) AS keep_trace_id,
       trace_id AS copy_trace_id FROM t) WHERE keep_trace_id <> copy_trace_id""",
     "p6_collapsed": _P6 + " SELECT min(trace_id) AS keep, count(*) AS n_copies FROM t GROUP BY document_id, variation, word_index, a, b, bits",
+    "p7_roundtrip": "SELECT doc_id, length(text) AS n_chars, md5(text) AS digest, 0 AS n_misfilled FROM documents WHERE text <> ''",
+    "p9_roundtrip": "SELECT doc_id, length(text) AS n_chars, md5(text) AS digest, 0 AS n_too_long FROM documents WHERE text <> ''",
     "p8_found": r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
 iw AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items WHERE text IS NOT NULL),
