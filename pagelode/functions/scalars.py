@@ -308,6 +308,7 @@ def merge_spans(lines: Column) -> Column:
     return F.when(F.size(lines) > 1, F.array_join(each, "\n")).otherwise(F.coalesce(one, F.lit("")))
 
 
+#: Fixed value: role-tagged segments of text.
 _SEGMENT = r"(?s)<(heading1|heading2|heading3|body|caption|comment)>(.*?)</\1>"
 
 
@@ -325,5 +326,6 @@ def block_header(page: Column, block_id: Column, block_type: Column) -> Column:
 
 
 def block_prompt(page: Column, block_id: Column, block_type: Column, text: Column) -> Column:
-    """Header and text of a block for a prompt; '' for a blank block."""
-    return F.when(blank_to_null(text).isNull(), "").otherwise(F.concat(block_header(page, block_id, block_type), F.lit("\n"), text))
+    """Header and stripped text of a block for a prompt; '' for a blank block."""
+    body = blank_to_null(text)
+    return F.when(body.isNull(), "").otherwise(F.concat(block_header(page, block_id, block_type), F.lit("\n"), body))

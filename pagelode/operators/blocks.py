@@ -144,18 +144,18 @@ def reading_position(blocks: DataFrame) -> DataFrame:
 
 
 def within_budget(blocks: DataFrame, budget: int = 100_000) -> DataFrame:
-    """Blocks whose pieces, in prompt order, stay within the budget of characters; blank ones take none.
+    """Blocks whose pieces (header and stripped text, each ending its line), in prompt order, stay within the budget of characters.
 
-    A prefix: the running sum only grows, since pieces are never negative.
+    Blank ones take none. A prefix: the running sum only grows, since pieces are never negative.
     """
-    piece = S.block_prompt(F.col("page"), F.col("block_id"), F.col("block_type"), F.col("raw_text"))
-    size = F.when(piece == "", 0).otherwise(F.length(piece) + 1)
-    out = running_by_page(blocks, [*prompt_order()[1:], F.col("trace_id")], size, "used_chars").withColumn("piece", piece)
+    text = S.block_prompt(F.col("page"), F.col("block_id"), F.col("block_type"), F.col("raw_text"))
+    piece = F.when(text != "", F.concat(text, F.lit("\n"))).otherwise("")
+    out = running_by_page(blocks, [*prompt_order()[1:], F.col("trace_id")], F.length(piece), "used_chars").withColumn("piece", piece)
     return out.filter((F.col("piece") != "") & (F.col("used_chars") <= budget))
 
 
 def prompt_texts(blocks: DataFrame, budget: int = 100_000) -> DataFrame:
-    """(document_id, prompt): pieces within the budget joined by newlines, ``(no text blocks)`` where none fits.
+    """(document_id, prompt): pieces within the budget, a blank line between them, ``(no text blocks)`` where none fits.
 
     A prompt is bounded by the budget, so the ordered list that builds it is too.
     """

@@ -44,6 +44,13 @@ def fold_by_confidence(df: DataFrame, keys: list[str], pos: str, confidence: str
     return steps.groupBy(*keys).agg(ordered.alias("_s")).withColumn("_w", folded).select(*keys, "_w._r.*")
 
 
+def _aliases(df: DataFrame) -> Column:
+    """Stripped aliases without blank ones; an empty list where there are none."""
+    if "aliases" not in df.columns:
+        return F.array().cast("array<string>").alias("aliases")
+    return F.coalesce(F.filter(F.transform("aliases", strip), lambda x: x != ""), F.array().cast("array<string>")).alias("aliases")
+
+
 def instruction_catalog(items: DataFrame, run_id: str = "run") -> DataFrame:
     """Catalog rows from extracted items (document_id, pos, and raw columns): names of 1 to 64 characters, folded per scope."""
     c = F.col
@@ -52,12 +59,12 @@ def instruction_catalog(items: DataFrame, run_id: str = "run") -> DataFrame:
         F.coalesce(blank_to_null("opcode_raw"), F.lit("UNKNOWN")).alias("opcode_raw"), F.coalesce(blank_to_null("execution_unit"), F.lit("UNKNOWN_UNIT")).alias("execution_unit"),
         S.clamp_choice("instruction_kind", S.INSTRUCTION_KINDS, "unknown").alias("instruction_kind"),
         S.clamp_unit(c("instruction_kind_confidence"), 0.35).alias("instruction_kind_confidence"), S.clamp_unit(c("confidence_score"), 0.6).alias("confidence_score"),
-        F.coalesce(c("source_page").try_cast("int"), F.lit(1)).alias("page"),
+        F.coalesce(c("source_page").try_cast("int"), F.lit(1)).alias("page"), _aliases(items),
     ).filter((F.length("instruction_name") > 0) & (F.length("instruction_name") <= 64))
     f = fold_by_confidence(n, ["document_id", "instruction_name", "variation"], "pos", "confidence_score")
     w = Window.partitionBy("document_id").orderBy("instruction_name", "variation")
     return f.withColumn("_i", F.row_number().over(w) - 1).select(
-        S.trace_id(run_id, F.lit("instr"), c("_i")).alias("trace_id"), "document_id", "instruction_name", F.nullif("variation", F.lit("")).alias("variation"), "opcode_raw",
+        S.trace_id(run_id, F.lit("instr"), c("_i")).alias("trace_id"), "document_id", "instruction_name", F.nullif("variation", F.lit("")).alias("variation"), "aliases", "opcode_raw",
         S.opcode_radix("opcode_raw").alias("opcode_radix"), S.opcode_value("opcode_raw").alias("opcode_value"), "execution_unit", "instruction_kind",
         F.round("instruction_kind_confidence", 4).alias("instruction_kind_confidence"), F.round("confidence_score", 4).alias("confidence_score"),
         F.array(F.struct(c("page"))).alias("source_refs"), c("_i").alias("pos"),
@@ -71,10 +78,11 @@ def catalog_from_truth(truth: DataFrame, run_id: str = "run") -> DataFrame:
     raw = S.opcode_text("opcode_raw", "opcode_value")
     w = Window.orderBy("instruction_name", "variation")  # ground truth is a hand-written list
     return one.withColumn("_raw", raw).select(
-        S.trace_id(run_id, F.lit("gt"), F.row_number().over(w) - 1).alias("trace_id"), "instruction_name", F.nullif("variation", F.lit("")).alias("variation"), F.col("_raw").alias("opcode_raw"),
+        S.trace_id(run_id, F.lit("gt"), F.row_number().over(w) - 1).alias("trace_id"), "instruction_name", F.nullif("variation", F.lit("")).alias("variation"), _aliases(one), F.col("_raw").alias("opcode_raw"),
         F.when(S.opcode_value("_raw").isNotNull(), S.opcode_radix("_raw")).otherwise("unknown").alias("opcode_radix"), F.coalesce(S.opcode_value("_raw"), F.col("opcode_value").cast("bigint")).alias("opcode_value"),
         F.coalesce(blank_to_null("execution_unit"), F.lit("UNKNOWN_UNIT")).alias("execution_unit"), S.clamp_choice("instruction_kind", S.INSTRUCTION_KINDS, "unknown").alias("instruction_kind"),
-        F.lit(1.0).alias("confidence_score"),
+        F.lit(1.0).alias("instruction_kind_confidence"), F.lit(1.0).alias("confidence_score"),
+        F.array(F.struct(F.lit("ground_truth_catalog").alias("method"))).alias("source_refs"),
     )
 
 

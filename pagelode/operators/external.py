@@ -88,7 +88,7 @@ def reply_items(replies: DataFrame, array: str, item_schema: str) -> DataFrame:
     return e.select(*keep, F.posexplode(F.col(f"_o.{array}")).alias("pos", "_i")).filter("_i IS NOT NULL").select(*keep, "pos", "_i.*")
 
 
-INSTRUCTION_ITEMS = "instruction_name:string,variation:string,opcode_raw:string,execution_unit:string,instruction_kind:string,instruction_kind_confidence:string,confidence_score:string,source_page:string"
+INSTRUCTION_ITEMS = "instruction_name:string,variation:string,aliases:array<string>,opcode_raw:string,execution_unit:string,instruction_kind:string,instruction_kind_confidence:string,confidence_score:string,source_page:string"
 TYPE_ITEMS = "type_id:string,type_name_raw:string,category:string,description:string,value_constraint_summary:string,source_page:string"
 MAPPING_ITEMS = "instruction_name:string,variation:string,field_name:string,data_type_raw:string,data_type_ref:string,source_page:string"
 DOMAIN_ITEMS = "instruction_name:string,variation:string,field_name:string,allowed_value_form:string,allowed_values_or_range:string,source_page:string"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelode.functions import scalars as S
@@ -17,6 +17,22 @@ def evidence_pages(refs: str = "source_refs"):  # noqa: ANN201
     return F.array_distinct(F.filter(F.transform(F.coalesce(F.col(refs), F.array()), lambda r: r["page"]), lambda p: p >= 1))
 
 
+def block_reference(blocks: DataFrame) -> Column:
+    """What a row cites of its block: the block's first reference, else its page, box and id."""
+    names = ["page", "method", "block_id", "bbox"]
+    kinds = ["int", "string", "string", "array<double>"]
+    own = {"page": F.coalesce("page", F.lit(1)), "block_id": F.col("block_id")}
+    if "bbox" in blocks.columns:
+        own["bbox"] = F.array(*(F.col(f"bbox.{c}") for c in ("x0", "y0", "x1", "y1")))
+    null = {n: F.lit(None).cast(k) for n, k in zip(names, kinds)}
+    fallback = F.struct(*(own.get(n, null[n]).cast(k).alias(n) for n, k in zip(names, kinds)))
+    if "source_refs" not in blocks.columns:
+        return fallback
+    held = blocks.schema["source_refs"].dataType.elementType.fieldNames()
+    first = F.get("source_refs", 0)
+    return F.when(first.isNotNull(), F.struct(*((first[n] if n in held else null[n]).cast(k).alias(n) for n, k in zip(names, kinds)))).otherwise(fallback)
+
+
 def computed_once(df: DataFrame, **columns) -> DataFrame:  # noqa: ANN003
     """Adds columns through a generator, behind which the optimizer neither repeats nor moves their expressions.
 
@@ -33,8 +49,8 @@ def parsed_fields(blocks: DataFrame) -> DataFrame:
     """
     c = F.col
     numbered = running_by_page(blocks, [c("block_id"), c("trace_id")], F.lit(1), "block_idx").withColumn("block_idx", c("block_idx") - 1)
-    keep = ["document_id", "page", "block_id", "block_type", "block_idx"]
-    some = numbered.filter(blank_to_null("raw_text").isNotNull()).select(*keep, split_lines("raw_text").alias("lines"))
+    keep = ["document_id", "page", "block_id", "block_type", "block_idx", "ref"]
+    some = numbered.filter(blank_to_null("raw_text").isNotNull()).withColumn("ref", block_reference(numbered)).select(*keep, split_lines("raw_text").alias("lines"))
 
     t = some.filter("block_type = 'table'").withColumn("lines", F.filter("lines", lambda x: strip(x) != ""))
     t = computed_once(t, head=S.split_row(F.coalesce(F.get("lines", 0), F.lit(""))))
@@ -78,19 +94,20 @@ def candidates_for_pages(pages: DataFrame, catalog: DataFrame, reach: int = 1) -
     )
 
 
-def field_map(blocks: DataFrame, catalog: DataFrame, run_id: str = "run") -> DataFrame:
-    """Parsed fields times the instructions of their page, with confidence and doubt."""
+def field_map(blocks: DataFrame, catalog: DataFrame, run_id: str = "run", stage: str = "field_parsing") -> DataFrame:
+    """Parsed fields times the instructions of their page, with confidence, doubt and the reference of their block."""
     fields = parsed_fields(blocks)
     multi = (F.col("n_candidates") > 1) | F.col("fallback")
     unsure = multi | (F.col("block_type") != "table")
     base = F.when(unsure, OK_CONFIDENCE).otherwise(F.col("row_confidence"))
     conf = F.least(F.lit(0.95), F.greatest(F.lit(0.25), base * F.when(multi, 0.9).otherwise(1.0)))
-    j = fields.join(candidates_for_pages(fields, catalog), ["document_id", "page"])
+    # Candidates of all pages are cheaper than parsing the blocks twice to know which pages have fields.
+    j = fields.join(candidates_for_pages(blocks, catalog), ["document_id", "page"])
     name, var = F.upper(strip(F.coalesce("instruction_name", F.lit("UNKNOWN")))), S.normalize_variation("variation")
     return j.select(
         S.trace_id(run_id, F.lit("field"), F.col("block_idx"), F.col("field_idx"), S.scope_label("instruction_name", "variation")).alias("trace_id"),
-        "document_id", "page", "block_id", "inst_pos", name.alias("instruction_name"), var.alias("variation"), "field_name", "bit_range", "word_index",
-        F.round(conf, 4).alias("confidence_score"), (unsure | (conf < OK_CONFIDENCE)).alias("uncertain"),
+        F.lit(stage).alias("stage_name"), F.lit(run_id).alias("stage_run_id"), "document_id", "page", "block_id", "inst_pos", name.alias("instruction_name"), var.alias("variation"), "field_name", "bit_range", "word_index",
+        F.round(conf, 4).alias("confidence_score"), (unsure | (conf < OK_CONFIDENCE)).alias("uncertain"), F.array("ref").alias("source_refs"),
     )
 
 

@@ -34,20 +34,22 @@ def top_terms(terms: DataFrame, k: int = 50) -> DataFrame:
     return merge_terms(terms).orderBy(F.desc("frequency"), "term_key").limit(k)
 
 
-def flatten_aliases(aliases: DataFrame, rounds: int = 16) -> DataFrame:
-    """(alias, target): chains of aliases followed to their end by pointer doubling; a circle ends at its smallest name."""
+def flatten_aliases(aliases: DataFrame) -> DataFrame:
+    """(alias, target): chains of aliases followed to their end by pointer doubling; a circle, and what leads into it, ends at
+    its smallest name. Of several targets of an alias the smallest counts. As many doublings as the number of aliases
+    can need: no chain is longer than they are many."""
     cur = aliases.select("alias", "target").groupBy("alias").agg(F.min("target").alias("target")).withColumn("low", F.least("alias", "target"))
-    for _ in range(rounds):
+    cur = materialize(cur, "aliases")
+    for _ in range(cur.count().bit_length()):
         hop = cur.select(F.col("alias").alias("target"), F.col("target").alias("_t"), F.col("low").alias("_l"))
         nxt = cur.join(hop, "target", "left").select("alias", F.coalesce("_t", "target").alias("target"), F.least("low", F.coalesce("_l", "low")).alias("low"), F.col("_t").isNotNull().alias("_moved"))
         nxt = materialize(nxt, "aliases")
-        moved = not nxt.filter("_moved").isEmpty()
         cur = nxt.drop("_moved")
-        if not moved:
+        if nxt.filter("_moved").isEmpty():
             break
-    # What still moves after 2^rounds steps goes in a circle.
-    again = cur.join(cur.select(F.col("alias").alias("target"), F.lit(True).alias("_circle")), "target", "left")
-    return again.select("alias", F.when(F.col("_circle"), F.col("low")).otherwise(F.col("target")).alias("target"))
+    # What still moves has walked round a circle, whose smallest name its end has met.
+    circle = cur.select(F.col("alias").alias("target"), F.col("low").alias("_low"))
+    return cur.join(circle, "target", "left").select("alias", F.coalesce("_low", "target").alias("target"))
 
 
 def rewrite_edges(edges: DataFrame, aliases: DataFrame) -> DataFrame:

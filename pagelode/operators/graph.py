@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagelode.functions import scalars as S
 from pagelode.functions.text import blank_to_null, strip
 from pagelode.operators.catalog import first_wins, last_wins
+from pagelode.session import materialize
 
 
 def _unit(c: str = "execution_unit"):  # noqa: ANN202
@@ -88,7 +89,7 @@ def sound_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def dangling_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Edges with a missing end, which ends are missing, and nothing else."""
-    ids = nodes.select("id").distinct()
+    ids = materialize(nodes.select("id").distinct(), "node-ids")  # joined to both ends
     a, b = ids.select(F.col("id").alias("from"), F.lit(True).alias("_f")), ids.select(F.col("id").alias("to"), F.lit(True).alias("_t"))
     j = edges.join(a, "from", "left").join(b, "to", "left").filter("_f IS NULL OR _t IS NULL")
     return j.select("from", "rel", "to", F.col("_f").isNull().alias("from_missing"), F.col("_t").isNull().alias("to_missing"))

@@ -56,7 +56,7 @@ def cluster_adjacent(boxes: DataFrame, by: list[str], box_id: str, gap: float =
     return label.withColumnRenamed("a", box_id)
 
 
-def stitch_links(blocks: DataFrame, heights: DataFrame, bottom: float = 0.12, top: float = 0.12, least_width: float = 0.5, edge: float = 2.0) -> DataFrame:
+def stitch_links(blocks: DataFrame, heights: DataFrame, bottom: float = 0.08, top: float = 0.08, least_width: float = 0.5, edge: float = 2.0) -> DataFrame:
     """Tables that go on over a page break: (document_id, page, upper, lower, take).
 
     The bottommost table of a page meets the topmost of the next if both stand in the margins, are the
@@ -87,10 +87,10 @@ def stitch_links(blocks: DataFrame, heights: DataFrame, bottom: float = 0.12, to
     return links.withColumn("take", F.row_number().over(chain) % 2 == 1).select("document_id", "page", "upper", "lower", "take")
 
 
-def stitch_tables(blocks: DataFrame, heights: DataFrame, max_rounds: int = 8, **margins: float) -> DataFrame:
-    """Blocks with tables over page breaks joined, pass after pass until none is left (or ``max_rounds``)."""
+def stitch_tables(blocks: DataFrame, heights: DataFrame, **margins: float) -> DataFrame:
+    """Blocks with tables over page breaks joined, pass after pass until none is left; every pass takes a table off."""
     cur = blocks if "multi_page_bboxes" in blocks.columns else blocks.withColumn("multi_page_bboxes", F.lit(None).cast("array<struct<page:int,bbox:struct<x0:double,y0:double,x1:double,y1:double>>>"))
-    for _ in range(max_rounds):
+    while True:
         links = materialize(stitch_links(cur, heights, **margins).filter("take"), "stitch")
         if links.isEmpty():
             break
@@ -118,22 +118,22 @@ ROLES = ("heading1", "heading2", "heading3", "body", "caption", "comment")
 
 
 def size_tiers(spans: DataFrame) -> DataFrame:
-    """(document_id, tier, role): distinct sizes in half points, largest first; from the sixth on all are comments."""
-    tiers = spans.filter("size IS NOT NULL").select("document_id", (F.bround(F.col("size") * 2, 0) / 2).alias("tier")).distinct()
+    """(document_id, tier, role): distinct sizes above 0 in half points, largest first; from the sixth on all are comments."""
+    tiers = spans.filter("size > 0").select("document_id", (F.bround(F.col("size") * 2, 0) / 2).alias("tier")).distinct()
     rank = F.dense_rank().over(Window.partitionBy("document_id").orderBy(F.desc("tier")))
     roles = F.array(*map(F.lit, ROLES))
     return tiers.withColumn("rank", rank).select("document_id", "tier", F.get(roles, F.least(F.col("rank"), F.lit(len(ROLES))) - 1).alias("role"))
 
 
 def span_roles(spans: DataFrame) -> DataFrame:
-    """Spans with the role of the nearest tier; of two equally near the larger counts.
+    """Spans with the role of the tier nearest to their size in half points; of two equally near the larger counts.
 
-    Tiers of a document are few: they travel as one array per document.
+    Without tiers all are body; a missing size counts as 11. Tiers of a document are few: they travel as one array per document.
     """
     tiers = size_tiers(spans).groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("tier")).alias("neg"), "tier", "role"))).alias("_tiers"))
     def nearest(size):  # noqa: ANN001, ANN202
         return F.array_min(F.transform("_tiers", lambda t: F.struct(F.abs(t["tier"] - size).alias("d"), t["neg"].alias("n"), t["role"].alias("role"))))["role"]
-    return spans.join(tiers, "document_id", "left").withColumn("role", nearest(F.coalesce("size", F.lit(11.0)))).drop("_tiers")
+    return spans.join(tiers, "document_id", "left").withColumn("role", F.coalesce(nearest(F.bround(F.coalesce("size", F.lit(11.0)) * 2, 0) / 2), F.lit("body"))).drop("_tiers")
 
 
 def tag_headings(blocks: DataFrame, spans: DataFrame, tolerance: float = 3.0) -> DataFrame:

@@ -29,28 +29,26 @@ def inner_product(a: Column, b: Column) -> Column:
 
 def embed(texts: DataFrame, embedder, column: str = "text", batch: int = 64) -> DataFrame:  # noqa: ANN001
     """Adds ``vec``: texts embedded by an injected callable (list of texts to list of vectors), batch by batch."""
-    def unit(v) -> list[float]:  # noqa: ANN001
-        x = [float(y) for y in v]
-        norm = max(sum(y * y for y in x) ** 0.5, 1e-12)
-        return [y / norm for y in x]
+    import numpy as np
 
     @F.pandas_udf("array<double>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             out: list = []
             for i in range(0, len(s), batch):
-                out.extend(unit(v) for v in embedder(s.iloc[i : i + batch].fillna("").tolist()))
+                m = np.asarray(embedder(s.iloc[i : i + batch].fillna("").tolist()), dtype=np.float64)
+                out.extend(m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12))
             yield pd.Series(out)
 
     return texts.withColumn("vec", run(column))
 
 
 def index_rows(blocks: DataFrame) -> DataFrame:
-    """What an index keeps of each block with text: its place on the page, page totals, header and capped text, preview.
+    """What an index keeps of each block with text: its place on the page, page totals, header and capped stripped text, preview.
 
     Ids are per document, so that numbering needs no global sort.
     """
-    b = blocks.filter(blank_to_null("raw_text").isNotNull())
+    b = blocks.withColumn("raw_text", blank_to_null("raw_text")).filter("raw_text IS NOT NULL")
     b = running_by_page(b, [*prompt_order()[1:], F.col("trace_id")], F.lit(1), "vec_no")
     page = Window.partitionBy("document_id", "page")
     at = F.row_number().over(page.orderBy("block_id", "block_type", "trace_id")) - 1
@@ -76,6 +74,22 @@ def top_k(vectors: DataFrame, query: list[float], k: int = TOP_K, vec: str = "em
     return vectors.select(row_id, inner_product(F.col(vec), q).alias("score")).orderBy(F.desc("score"), row_id).limit(k)
 
 
+def _best(score, ids, k: int):  # noqa: ANN001, ANN202
+    """The k best columns of each row by score, ties by id: partitioned as a matrix, sorted only where few are left."""
+    import numpy as np
+
+    if score.shape[1] > k:
+        edge = -np.partition(-score, k - 1, axis=1)[:, k - 1 : k]
+        # Of the ties at the edge the smallest ids stay.
+        tied = np.where(score == edge, ids, np.iinfo(np.int64).max)
+        room = k - (score > edge).sum(axis=1, keepdims=True)
+        last = np.take_along_axis(np.sort(tied, axis=1), room - 1, 1)
+        keep = (score > edge) | ((score == edge) & (ids <= last))
+        at = np.argsort(~keep, axis=1, kind="stable")[:, :k]
+        score, ids = np.take_along_axis(score, at, 1), np.take_along_axis(ids, at, 1)
+    return score, ids
+
+
 def top_k_many(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, vec: str = "embedding", row_id: str = "vec_id", query_block: int = 256) -> DataFrame:
     """The ``k`` best rows for each row of a stated query set: (query_id, ``row_id``, score, rank).
 
@@ -102,8 +116,7 @@ def top_k_many(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, vec: str
                 s = mat @ np.array(pdf[vec].tolist(), dtype=np.float64).T
                 cat_s = np.concatenate([best_s, s], axis=1)
                 cat_i = np.concatenate([best_i, np.broadcast_to(pdf[row_id].to_numpy(np.int64), s.shape)], axis=1)
-                keep = np.stack([np.lexsort((i, -x))[:k] for i, x in zip(cat_i, cat_s)])
-                best_s, best_i = np.take_along_axis(cat_s, keep, 1), np.take_along_axis(cat_i, keep, 1)
+                best_s, best_i = _best(cat_s, cat_i, k)
             real = np.isfinite(best_s)
             q = np.broadcast_to(ids[:, None], best_s.shape)
             yield pd.DataFrame({"query_id": q[real], row_id: best_i[real], "score": best_s[real]})

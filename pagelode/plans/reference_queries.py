@@ -82,17 +82,18 @@ def page_metrics(s: SparkSession, d: str) -> DataFrame:
 
 def header_footer_position(s: SparkSession, d: str) -> DataFrame:
     kept = B.drop_margins(page_blocks(s, d), F.lit(HEIGHT), 0.1, 0.15)
-    return kept.groupBy("document_id").agg(F.count("*").alias("n_blocks"))
+    return kept.select("document_id", "block_id")
 
 
 def repeated_lines(s: SparkSession, d: str) -> DataFrame:
     lines = page_blocks(s, d).select("document_id", "page", "block_type", F.explode(F.split("raw_text", "\n")).alias("raw_text"))
-    return B.repeated_lines(lines, 3, 80)
+    return B.repeated_lines(lines, 3, 120)
 
 
 def header_footer_repeat(s: SparkSession, d: str) -> DataFrame:
     lines = page_blocks(s, d).select("document_id", "page", "block_type", F.explode(F.split("raw_text", "\n")).alias("raw_text"))
-    return B.drop_repeated(lines, 3, 80).groupBy("document_id").agg(F.count("*").alias("n_lines"))
+    kept = B.drop_repeated(lines, 3, 120).select("document_id", "page", F.md5("raw_text").alias("line"))
+    return kept.groupBy("document_id", "page", "line").agg(F.count("*").alias("n_lines"))
 
 
 def reading_order(s: SparkSession, d: str) -> DataFrame:
@@ -100,7 +101,7 @@ def reading_order(s: SparkSession, d: str) -> DataFrame:
 
 
 def prompt_budget(s: SparkSession, d: str) -> DataFrame:
-    return B.within_budget(page_blocks(s, d), 20_000).select("document_id", "block_id", "used_chars")
+    return B.within_budget(page_blocks(s, d)).select("document_id", "block_id", "used_chars", F.md5("piece").alias("piece"))
 
 
 def total_pages(s: SparkSession, d: str) -> DataFrame:
@@ -125,10 +126,6 @@ def page_confidence(s: SparkSession, d: str) -> DataFrame:
 
 
 def page_coverage(s: SparkSession, d: str) -> DataFrame:
-    return D.page_coverage(catalog(s, d), 1, 40)
-
-
-def page_coverage_whole(s: SparkSession, d: str) -> DataFrame:
     """Every page of every manual, to the last one there is or that is cited."""
     return D.whole_coverage(catalog(s, d), B.total_pages(page_blocks(s, d)))
 
@@ -170,7 +167,7 @@ def override_join(s: SparkSession, d: str) -> DataFrame:
     two = F.expr("array(named_struct('field_name', 'A', 'bit_range', '7:0', 'word_index', 0), named_struct('field_name', 'B', 'bit_range', '', 'word_index', 1))")
     sheet = names.filter(F.col("scope").rlike("^[A-M]")).select("scope", F.when(F.col("scope").rlike("^[A-F]"), two).otherwise(F.slice(two, 1, 0)).alias("fields"))
     rows, _ = D.apply_overrides(field_rows(s, d), c, sheet)
-    return rows.groupBy("document_id", "sheet_key").agg(F.count("*").alias("n_rows"))
+    return rows.groupBy("document_id", "sheet_key", S.scope_label("instruction_name", "variation").alias("scope"), "field_name", "bit_range", "confidence_score").agg(F.count("*").alias("n_rows"))
 
 
 def registry_repair(s: SparkSession, d: str) -> DataFrame:
@@ -299,7 +296,7 @@ def vector_topk_many(s: SparkSession, d: str) -> DataFrame:
 
 
 def index_rows(s: SparkSession, d: str) -> DataFrame:
-    return V.index_rows(page_blocks(s, d)).select("document_id", "block_id", "vec_no", "index_on_page", "blocks_on_page", F.length("text").alias("n_text"))
+    return V.index_rows(page_blocks(s, d)).select("document_id", "block_id", "vec_no", "index_on_page", "blocks_on_page", F.md5("text").alias("text"), F.md5("text_preview").alias("preview"))
 
 
 def contract_violations(s: SparkSession, d: str) -> DataFrame:
@@ -310,7 +307,7 @@ def contract_violations(s: SparkSession, d: str) -> DataFrame:
 
 def corpus_chunks(s: SparkSession, d: str) -> DataFrame:
     docs = table(s, d, "documents").select(F.col("doc_id").cast("string").alias("document_id"), "text")
-    return B.corpus_chunks(docs).select("document_id", "chunk_no", F.length("text").alias("n_chars"))
+    return B.corpus_chunks(docs).select("document_id", "chunk_no", F.md5("text").alias("text"))
 
 
 def glossary_terms(s: SparkSession, d: str) -> DataFrame:
@@ -349,7 +346,7 @@ def pipeline_nodes(s: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     opcode_parse, scope_labels, bit_width_types, domain_expressions, domain_constraints, constraint_counts, canonical_intervals, page_metrics,
     header_footer_position, repeated_lines, header_footer_repeat, reading_order, prompt_budget, total_pages, block_neighbours, equation_blocks,
-    page_confidence, page_coverage, page_coverage_whole, parsed_fields, band_candidates, field_map, scope_coverage, coverage_summary, global_fields, scope_fields,
+    page_confidence, page_coverage, parsed_fields, band_candidates, field_map, scope_coverage, coverage_summary, global_fields, scope_fields,
     override_join, registry_repair, fold_dedup, first_and_last, type_registry, inferred_types, interval_islands, stitch_links, heading_rank,
     eval_instructions, eval_field_map, eval_names, eval_sections, ontology_nodes, ontology_edges, dangling_edges, node_degrees, edge_sample,
     unit_instructions, evidence_lookup, vector_topk, vector_topk_many, index_rows, contract_violations, corpus_chunks, glossary_terms, size_routes,

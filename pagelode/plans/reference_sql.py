@@ -55,10 +55,10 @@ _NUM = r"(0x[0-9a-f]{1,15}|[0-9]{1,18})"
 _IV = rf"'^[\[(]?\s*{_NUM}\s*(?:\.\.|~|-|–|:|,|\bto\b)\s*{_NUM}\s*[\])]?$'"
 
 _KEYED_LINES = r"""lines AS (SELECT document_id, page, block_type, unnest(string_split(raw_text, chr(10))) AS line FROM b),
-kl AS (SELECT document_id, page, block_type, regexp_replace(regexp_replace(lower(""" + _strip("line") + r"""), '[0-9]+', '#', 'g'), '\s+', ' ', 'g') AS line FROM lines),
-rep AS (SELECT document_id, line, count(DISTINCT page) AS n_pages FROM kl WHERE block_type IN ('text', 'equation') AND line <> '' AND length(line) <= 80 GROUP BY ALL HAVING count(DISTINCT page) >= 3)"""
+kl AS (SELECT document_id, page, block_type, line AS raw, regexp_replace(regexp_replace(lower(""" + _strip("line") + r"""), '[0-9]+', '#', 'g'), '\s+', ' ', 'g') AS line FROM lines),
+rep AS (SELECT document_id, line, count(DISTINCT page) AS n_pages FROM kl WHERE block_type IN ('text', 'equation') AND line <> '' AND length(line) <= 120 GROUP BY ALL HAVING count(DISTINCT page) >= 3)"""
 
-_PIECE = r"""CASE WHEN """ + _blank("raw_text") + r""" IS NULL THEN '' ELSE '--- page=' || page || ' block_id=' || block_id || ' type=' || block_type || ' ---' || chr(10) || raw_text END"""
+_PIECE = r"""CASE WHEN """ + _blank("raw_text") + r""" IS NULL THEN '' ELSE '--- page=' || page || ' block_id=' || block_id || ' type=' || block_type || ' ---' || chr(10) || """ + _strip("raw_text") + r""" || chr(10) END"""
 
 _IID = "'Instr:' || concat_ws('_', coalesce(opcode_value::VARCHAR, name), var)"
 _EU = f"coalesce({_blank('execution_unit')}, 'UNKNOWN_UNIT')"
@@ -119,15 +119,15 @@ ORACLE = {
       SELECT *, concat_ws(',', CASE WHEN char_count < 40 THEN 'low_text_char_count' END, CASE WHEN image_blocks > 0 AND char_count < 80 THEN 'image_heavy_low_text' END,
         CASE WHEN text_blocks = 0 AND (image_blocks > 0 OR table_blocks > 0) THEN 'no_text_layer_blocks' END, CASE WHEN char_count < 8 AND image_blocks >= 1 THEN 'scanned_or_bitmap_heavy' END) AS ocr_reasons,
         char_count < 40 OR (image_blocks > 0 AND char_count < 80) OR (text_blocks = 0 AND (image_blocks > 0 OR table_blocks > 0)) OR (char_count < 8 AND image_blocks >= 1) AS needs_ocr FROM m""",
-    "header_footer_position": f"""WITH {_BLOCKS} SELECT document_id, count(*) AS n_blocks FROM b
-      WHERE NOT coalesce(block_type IN ('text', 'equation') AND (y1 <= 792.0 * 0.1 OR y0 >= 792.0 * (1.0 - 0.15)), false) GROUP BY ALL""",
+    "header_footer_position": f"""WITH {_BLOCKS} SELECT document_id, block_id FROM b
+      WHERE NOT coalesce(block_type IN ('text', 'equation') AND (y1 <= 792.0 * 0.1 OR y0 >= 792.0 * (1.0 - 0.15)), false)""",
     "repeated_lines": f"WITH {_BLOCKS}, {_KEYED_LINES} SELECT document_id, line, n_pages FROM rep",
-    "header_footer_repeat": f"""WITH {_BLOCKS}, {_KEYED_LINES} SELECT kl.document_id, count(*) AS n_lines FROM kl LEFT JOIN rep ON rep.document_id = kl.document_id AND rep.line = kl.line
+    "header_footer_repeat": f"""WITH {_BLOCKS}, {_KEYED_LINES} SELECT kl.document_id, kl.page, md5(kl.raw) AS line, count(*) AS n_lines FROM kl LEFT JOIN rep ON rep.document_id = kl.document_id AND rep.line = kl.line
       WHERE rep.line IS NULL OR kl.block_type NOT IN ('text', 'equation') GROUP BY ALL""",
     "reading_order": f"WITH {_BLOCKS} SELECT document_id, block_id, row_number() OVER (PARTITION BY document_id ORDER BY page, y0, x0, trace_id) - 1 AS read_pos FROM b",
     "prompt_budget": f"""WITH {_BLOCKS}, p AS (SELECT *, {_PIECE} AS piece FROM b),
-      q AS (SELECT *, sum(CASE WHEN piece = '' THEN 0 ELSE length(piece) + 1 END) OVER (PARTITION BY document_id ORDER BY coalesce(page, 0), block_id, block_type, trace_id ROWS UNBOUNDED PRECEDING)::BIGINT AS used_chars FROM p)
-      SELECT document_id, block_id, used_chars FROM q WHERE piece <> '' AND used_chars <= 20000""",
+      q AS (SELECT *, sum(length(piece)) OVER (PARTITION BY document_id ORDER BY coalesce(page, 0), block_id, block_type, trace_id ROWS UNBOUNDED PRECEDING)::BIGINT AS used_chars FROM p)
+      SELECT document_id, block_id, used_chars, md5(piece) AS piece FROM q WHERE piece <> '' AND used_chars <= 100000""",
     "total_pages": "SELECT document_id, max(page) AS total_pages FROM page_blocks GROUP BY ALL",
     "block_neighbours": f"""WITH {_BLOCKS}, n AS (SELECT document_id, block_id, lag(block_id) OVER w AS above, lead(block_id) OVER w AS below FROM b WINDOW w AS (PARTITION BY document_id, page ORDER BY y0, x0, trace_id))
       SELECT document_id, block_id, 'below' AS type, above AS target FROM n WHERE above IS NOT NULL UNION ALL SELECT document_id, block_id, 'above', below FROM n WHERE below IS NOT NULL""",
@@ -136,11 +136,7 @@ ORACLE = {
     "page_confidence": f"""WITH {_BLOCKS}, q AS (SELECT *, coalesce(length(raw_text), 0) AS n, coalesce(sum(length(raw_text)) OVER (PARTITION BY document_id, page), 0)::DOUBLE AS pc FROM b)
       SELECT document_id, block_id, CASE WHEN block_type = 'table' THEN CASE WHEN n <= 0 THEN 0.55 ELSE ((15601 + 5 * least(n, 800)) // 2) / 10000::DOUBLE END WHEN block_type = 'image' THEN 0.25::DOUBLE
         ELSE ((432030 + 52 * least(pc::BIGINT, 1500) + 225 * least(n, 400)) // 60) / 10000::DOUBLE END AS confidence FROM q""",
-    "page_coverage": f"""WITH {_CAT}, z AS (SELECT document_id, coalesce(conf, 0) AS conf, unnest({_PAGES}) AS page FROM c),
-      a AS (SELECT document_id, page, count(*) AS n, max(conf) FILTER (NOT isnan(conf)) AS mx FROM z WHERE page BETWEEN 1 AND 40 GROUP BY ALL),
-      sp AS (SELECT document_id, unnest(range(1, 41))::INT AS page FROM (SELECT DISTINCT document_id FROM c))
-      SELECT document_id, sp.page, CASE WHEN n > 0 THEN 1 ELSE 0 END AS "binary", coalesce(n, 0) AS instruction_count, round(coalesce(mx, 0.0), 4) AS max_confidence FROM sp LEFT JOIN a USING (document_id, page)""",
-    "page_coverage_whole": f"""WITH {_BLOCKS}, {_CAT}, z AS (SELECT document_id, coalesce(conf, 0) AS conf, unnest({_PAGES}) AS page FROM c),
+    "page_coverage": f"""WITH {_BLOCKS}, {_CAT}, z AS (SELECT document_id, coalesce(conf, 0) AS conf, unnest({_PAGES}) AS page FROM c),
       a AS (SELECT document_id, page, count(*) AS n, max(conf) FILTER (NOT isnan(conf)) AS mx FROM z GROUP BY ALL),
       tp AS (SELECT document_id, coalesce(max(page) FILTER (extraction_method IS DISTINCT FROM 'supplemental_corpus'), max(page), 1) AS page FROM b GROUP BY ALL),
       l AS (SELECT document_id, greatest(max(page), 1) AS last FROM (SELECT document_id, page FROM tp UNION ALL SELECT document_id, page FROM z UNION ALL SELECT document_id, 1 FROM c) GROUP BY ALL),
@@ -158,8 +154,8 @@ ORACLE = {
     "scope_fields": f"WITH {_MAP} SELECT document_id, scope, array_to_string(list_sort(list(DISTINCT {_CANON})), ',') AS fields FROM m WHERE {_CANON} <> '' GROUP BY ALL",
     "override_join": f"""WITH {_MAP}, {_CAT}, cs AS (SELECT DISTINCT document_id, scope, name, var FROM c), over AS (
         SELECT document_id, scope, CASE WHEN regexp_matches(scope, '^[A-M]') AND scope IN (SELECT name FROM cs) THEN scope ELSE name END AS used FROM cs WHERE regexp_matches(name, '^[A-F]')),
-      kept AS (SELECT m.document_id FROM m LEFT JOIN over ON over.document_id = m.document_id AND over.scope = m.scope WHERE over.scope IS NULL)
-      SELECT document_id, NULL::VARCHAR AS sheet_key, count(*) AS n_rows FROM kept GROUP BY ALL UNION ALL SELECT document_id, used, count(*) FROM over GROUP BY ALL""",
+      kept AS (SELECT m.* FROM m LEFT JOIN over ON over.document_id = m.document_id AND over.scope = m.scope WHERE over.scope IS NULL)
+      SELECT document_id, NULL::VARCHAR AS sheet_key, scope, field_name, bit_range, conf AS confidence_score, count(*) AS n_rows FROM kept GROUP BY ALL UNION ALL SELECT document_id, used, scope, 'A', '7:0', 0.95::DOUBLE, count(*) FROM over GROUP BY ALL""",
     "registry_repair": f"""WITH {_TYPES}, r AS (SELECT DISTINCT type_id FROM datatype_registry)
       SELECT coalesce(type_id, (SELECT min(type_id) FROM r)) AS data_type_ref, type_id IS NULL AS repaired, count(*) AS n_rows FROM f LEFT JOIN r ON r.type_id = f.dt GROUP BY ALL""",
     "fold_dedup": f"""WITH {_CAT}, q AS (SELECT document_id, name, coalesce(var, '') AS variation, pos, greatest(0.0::DOUBLE, least(1.0::DOUBLE, coalesce(CASE WHEN isnan(conf) THEN NULL ELSE conf END, 0.6::DOUBLE))) AS conf FROM c),
@@ -209,8 +205,8 @@ ORACLE = {
       FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0) SELECT query_id, vec_id, rank FROM s WHERE rank <= 10""",
     "index_rows": f"""WITH {_BLOCKS}, r AS (SELECT * FROM b WHERE {_blank('raw_text')} IS NOT NULL), w AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY coalesce(page, 0), block_id, block_type, trace_id) - 1 AS vec_no,
         row_number() OVER (PARTITION BY document_id, page ORDER BY block_id, block_type, trace_id) - 1 AS index_on_page, count(*) OVER (PARTITION BY document_id, page) AS blocks_on_page FROM r)
-      SELECT document_id, block_id, vec_no, index_on_page, blocks_on_page, length('[page=' || page || ' block_id=' || block_id || ' type=' || block_type || ' index_on_page=' || index_on_page || ']') + 1 + least(length(raw_text), 12000) AS n_text FROM w""",
-    "corpus_chunks": f"""SELECT doc_id::VARCHAR AS document_id, i::INT AS chunk_no, length(substring(text, i * 6000 + 1, 6000)) AS n_chars FROM (SELECT doc_id, text, unnest(range(0, ceil(length(text) / 6000.0)::BIGINT)) AS i FROM documents WHERE {_blank('text')} IS NOT NULL)""",
+      SELECT document_id, block_id, vec_no, index_on_page, blocks_on_page, md5('[page=' || page || ' block_id=' || block_id || ' type=' || block_type || ' index_on_page=' || index_on_page || ']' || chr(10) || substring({_strip('raw_text')}, 1, 12000)) AS text, md5(substring({_strip('raw_text')}, 1, 500)) AS preview FROM w""",
+    "corpus_chunks": f"""SELECT doc_id::VARCHAR AS document_id, i::INT AS chunk_no, md5(substring(text, i * 6000 + 1, 6000)) AS text FROM (SELECT doc_id, text, unnest(range(0, ceil(length(text) / 6000.0)::BIGINT)) AS i FROM documents WHERE {_blank('text')} IS NOT NULL)""",
     "glossary_terms": f"""WITH {_MAP}, t AS (SELECT lower({_strip('field_name')}) AS term_key, {_strip('field_name')} AS name, nullif({_strip('bit_range')}, '') AS d FROM m WHERE {_blank('field_name')} IS NOT NULL),
       s AS (SELECT term_key, name, count(*) AS n, min(length(d)) AS ld FROM t GROUP BY ALL) SELECT term_key, arg_max(name, (n, name)) AS name, sum(n)::BIGINT AS frequency, min(ld) AS n_definition FROM s GROUP BY ALL""",
     "size_routes": """WITH s AS (SELECT document_id, ceil(coalesce(sum(length(text)), 0) / 3.0)::BIGINT AS est_tokens FROM documents GROUP BY ALL)

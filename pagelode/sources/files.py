@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelode.functions.scalars import normalize_variation
@@ -105,7 +103,7 @@ def read_name_truth(spark: SparkSession, path: str, field: str = "canonical_fiel
 
 def _tagged(spark: SparkSession, path: str, tag: str) -> DataFrame:
     t = numbered_lines(spark, path).withColumn("p", F.transform(F.split("line", r"\|", -1), strip))
-    return t.filter(F.upper(F.get("p", 0)) == tag).select("pos", F.slice("p", 2, 64).alias("p"))
+    return t.filter(F.upper(F.get("p", 0)) == tag).select("pos", F.slice("p", F.lit(2), F.size("p")).alias("p"))
 
 
 def read_typed_truth(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -148,13 +146,3 @@ def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     g = read_json(spark, path, "nodes array<map<string,string>>, edges array<struct<`from`:string,rel:string,`to`:string>>")
     nodes = g.select(F.posexplode("nodes").alias("pos", "n")).select(F.col("n")["id"].alias("id"), F.col("n")["type"].alias("type"), F.to_json("n").alias("props"), "pos")
     return nodes, g.select(F.inline("edges"))
-
-
-def row_schema_of(example: dict) -> str:
-    """A DDL string for a flat JSON example, for ad-hoc reads."""
-    kinds = {bool: "boolean", int: "bigint", float: "double", str: "string"}
-    return ", ".join(f"`{k}` {kinds.get(type(v), 'string')}" for k, v in json.loads(json.dumps(example)).items())
-
-
-def column_or_null(df: DataFrame, name: str, kind: str = "string") -> Column:
-    return F.col(name) if name in df.columns else F.lit(None).cast(kind)

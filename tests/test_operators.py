@@ -279,8 +279,10 @@ def test_contracts(spark):
 def test_glossary(spark):
     t = spark.createDataFrame([("Tile", "long text"), ("tile", "short"), ("Tile", None), (" ", "x")], "name string, definition string")
     assert [tuple(r) for r in G.merge_terms(t).collect()] == [("tile", "Tile", 3, "short")]
-    a = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("x", "y"), ("y", "x"), ("q", "a")], "alias string, target string")
-    assert {r["alias"]: r["target"] for r in G.flatten_aliases(a, 4).collect()} == {"a": "d", "b": "d", "c": "d", "q": "d", "x": "x", "y": "x"}
+    a = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("x", "y"), ("y", "x"), ("q", "a"), ("k", "y"), ("g", "k")], "alias string, target string")
+    assert {r["alias"]: r["target"] for r in G.flatten_aliases(a).collect()} == {"a": "d", "b": "d", "c": "d", "q": "d", "x": "x", "y": "x", "k": "x", "g": "x"}
+    long = spark.range(300).selectExpr("string(id) AS alias", "string(id + 1) AS target")
+    assert {r["target"] for r in G.flatten_aliases(long).collect()} == {"300"}
     names, known = spark.createDataFrame([("SHIFT_AMT",), ("zzz",)], "name string"), spark.createDataFrame([("SHIFTAMT1",), ("OTHER",)], "name string")
     assert [tuple(r) for r in G.match_aliases(names, known).collect()] == [("SHIFT_AMT", "SHIFTAMT1", 1)]
     d = spark.createDataFrame([("d", "S", "F", "range", "0..15"), ("d", "S", "G", "enum", "A|B")], "document_id string, scope string, field_name string, allowed_value_form string, allowed_values_or_range string")
