@@ -18,9 +18,11 @@ from pagelode.operators import graph as R
 from pagelode.operators import layout as L
 from pagelode.operators import retrieval as V
 from pagelode.operators.contracts import violations
-from pagelode.plans.reference_sql import ORACLE  # noqa: F401
+from pagelode.plans import parsing_sql, reference_sql
 from pagelode.session import table
 
+ORACLE = {**reference_sql.ORACLE, **parsing_sql.ORACLE}
+
 #: Page height of the test manuals, in points.
 HEIGHT = 792.0
 
@@ -141,7 +143,7 @@ def band_candidates(s: SparkSession, d: str) -> DataFrame:
 
 def field_map(s: SparkSession, d: str) -> DataFrame:
     m = D.field_map(page_blocks(s, d), catalog(s, d))
-    return m.groupBy("document_id", "instruction_name", "variation", "confidence_score", "uncertain").agg(F.count("*").alias("n_rows"), F.count_distinct("field_name").alias("n_fields"))
+    return m.select("trace_id", "stage_name", "document_id", "block_id", "inst_pos", "instruction_name", "variation", "field_name", "bit_range", "word_index", "confidence_score", "uncertain", F.col("source_refs")[0]["page"].alias("ref_page"))
 
 
 def scope_coverage(s: SparkSession, d: str) -> DataFrame:
@@ -198,19 +200,32 @@ def inferred_types(s: SparkSession, d: str) -> DataFrame:
 
 
 def interval_islands(s: SparkSession, d: str) -> DataFrame:
-    y0 = F.datediff("l_shipdate", F.lit("1992-01-01")).cast("double")
-    li = table(s, d, "lineitem").select("l_orderkey", G.box(F.lit(0), y0, F.lit(1), y0 + F.col("l_quantity") / 10).alias("bbox"))
-    return L.merge_boxes(li, ["l_orderkey"]).select("l_orderkey", "cluster", "n_boxes", F.col("bbox.y0").alias("y0"), F.round("bbox.y1", 4).alias("y1"), "merged")
+    """Blocks of a page that meet vertically; those of a page of several columns would."""
+    b = page_blocks(s, d)
+    return L.merge_boxes(b, ["document_id", "page"]).select("document_id", "page", "cluster", "n_boxes", *(F.col(f"bbox.{c}").alias(c) for c in ("x0", "y0", "x1", "y1")), "merged")
+
+
+def _to_the_edges(b: DataFrame) -> DataFrame:
+    """Blocks planted as tables over page breaks: stretched from margin to margin where the page or the block is of some kinds."""
+    low, high = F.col("bbox.y1") >= 690, F.col("bbox.y0") <= 70
+    kind = F.when((low | high) & (F.col("page") % 5 > 0), "table").otherwise(F.col("block_type"))
+    box = G.box(F.col("bbox.x0"), F.when(high, 20.0).otherwise(F.col("bbox.y0")), F.col("bbox.x1"), F.when(low, HEIGHT - 20.0).otherwise(F.col("bbox.y1")))
+    return b.withColumns({"block_type": kind, "bbox": box})
 
 
 def stitch_links(s: SparkSession, d: str) -> DataFrame:
-    b = page_blocks(s, d)
-    return L.stitch_links(b, b.select("document_id", "page").distinct().withColumn("height", F.lit(760.0)), bottom=0.25, top=0.25)
+    b = _to_the_edges(page_blocks(s, d))
+    return L.stitch_links(b, b.select("document_id", "page").distinct().withColumn("height", F.lit(HEIGHT)))
+
+
+def block_spans(b: DataFrame) -> DataFrame:
+    """Lines of blocks as spans; a line's share of the width stands for its size."""
+    size = F.floor((F.col("bbox.x1") - F.col("bbox.x0")) / 16) / 2 - 5
+    return b.select("document_id", "page", F.col("block_id").alias("block_no"), F.col("bbox").alias("block_box"), F.posexplode(F.split("raw_text", "\n")).alias("span_no", "text"), size.alias("size"))
 
 
 def heading_rank(s: SparkSession, d: str) -> DataFrame:
-    spans = table(s, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("document_id"), (F.col("l_quantity") / 3).alias("size"))
-    return L.size_tiers(spans)
+    return L.size_tiers(block_spans(page_blocks(s, d)))
 
 
 def eval_instructions(s: SparkSession, d: str) -> DataFrame:

@@ -167,18 +167,18 @@ ORACLE = {
       SELECT 'run:reg:' || (row_number() OVER (ORDER BY tid) - 1) AS trace_id, tid AS type_id, coalesce({_blank('r.t')}, tid) AS type_name_raw,
       CASE WHEN lower(trim(r.c)) IN ('software_primitive', 'ip_architecture', 'alias', 'unknown') THEN lower(trim(r.c)) ELSE 'unknown' END AS category FROM o""",
     "inferred_types": f"WITH {_MAP}, {_TYPED} SELECT type_id, arg_min(domain, width) AS value_constraint_summary FROM t GROUP BY ALL",
-    "interval_islands": """WITH i AS (SELECT l_orderkey, date_diff('day', DATE '1992-01-01', l_shipdate::DATE)::DOUBLE AS y0, date_diff('day', DATE '1992-01-01', l_shipdate::DATE)::DOUBLE + l_quantity / 10 AS y1 FROM lineitem),
-      r AS (SELECT *, max(y1) OVER (PARTITION BY l_orderkey ORDER BY y0, y1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM i),
-      s AS (SELECT *, sum(CASE WHEN reach IS NULL OR y0 > reach THEN 1 ELSE 0 END) OVER (PARTITION BY l_orderkey ORDER BY y0, y1 ROWS UNBOUNDED PRECEDING)::INT - 1 AS cluster FROM r)
-      SELECT l_orderkey, cluster, count(*) AS n_boxes, min(y0) AS y0, round(max(y1), 4) AS y1, count(*) > 1 AS merged FROM s GROUP BY l_orderkey, cluster""",
-    "stitch_links": f"""WITH {_BLOCKS}, ends AS (SELECT document_id, page, arg_max({{'id': block_id, 'x0': x0, 'x1': x1, 'y': y1}}, (y1, block_id)) AS lo, arg_min({{'id': block_id, 'x0': x0, 'x1': x1, 'y': y0}}, (y0, block_id)) AS hi FROM b WHERE block_type = 'table' GROUP BY ALL),
-      ext AS (SELECT document_id, page, min(y0) AS mn, max(y1) AS mx FROM b GROUP BY ALL), pg AS (SELECT * FROM ends JOIN ext USING (document_id, page)),
+    "interval_islands": f"""WITH {_BLOCKS}, r AS (SELECT *, max(y1) OVER w AS reach FROM b WINDOW w AS (PARTITION BY document_id, page ORDER BY y0, y1, x0 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+      s AS (SELECT *, sum(CASE WHEN reach IS NULL OR y0 > reach THEN 1 ELSE 0 END) OVER (PARTITION BY document_id, page ORDER BY y0, y1, x0 ROWS UNBOUNDED PRECEDING)::INT - 1 AS cluster FROM r)
+      SELECT document_id, page, cluster, count(*) AS n_boxes, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, count(*) > 1 AS merged FROM s GROUP BY document_id, page, cluster""",
+    "stitch_links": f"""WITH {_BLOCKS}, pl AS (SELECT document_id, page, block_id, CASE WHEN (y1 >= 690 OR y0 <= 70) AND page % 5 > 0 THEN 'table' ELSE block_type END AS block_type, x0, CASE WHEN y0 <= 70 THEN 20.0::DOUBLE ELSE y0 END AS y0, x1, CASE WHEN y1 >= 690 THEN 772.0::DOUBLE ELSE y1 END AS y1 FROM b),
+      ends AS (SELECT document_id, page, arg_max({{'id': block_id, 'x0': x0, 'x1': x1, 'y': y1}}, (y1, block_id)) AS lo, arg_min({{'id': block_id, 'x0': x0, 'x1': x1, 'y': y0}}, (y0, block_id)) AS hi FROM pl WHERE block_type = 'table' GROUP BY ALL),
+      ext AS (SELECT document_id, page, min(y0) AS mn, max(y1) AS mx FROM pl GROUP BY ALL), pg AS (SELECT * FROM ends JOIN ext USING (document_id, page)),
       lk AS (SELECT p.document_id, p.page, p.lo.id AS upper, q.hi.id AS lower, q.hi.id = q.lo.id AS through FROM pg p JOIN pg q ON q.document_id = p.document_id AND q.page = p.page + 1
-        WHERE p.lo.y >= 760.0 * 0.75 AND q.hi.y <= 760.0 * 0.25 AND (least(p.lo.x1, q.hi.x1) - greatest(p.lo.x0, q.hi.x0)) / least(p.lo.x1 - p.lo.x0, q.hi.x1 - q.hi.x0) >= 0.5 AND abs(p.lo.y - p.mx) <= 2 AND abs(q.hi.y - q.mn) <= 2),
+        WHERE p.lo.y >= 792.0 * 0.92 AND q.hi.y <= 792.0 * 0.08 AND (least(p.lo.x1, q.hi.x1) - greatest(p.lo.x0, q.hi.x0)) / least(p.lo.x1 - p.lo.x0, q.hi.x1 - q.hi.x0) >= 0.5 AND abs(p.lo.y - p.mx) <= 2 AND abs(q.hi.y - q.mn) <= 2),
       nw AS (SELECT *, CASE WHEN lag(page) OVER w = page - 1 AND lag(through) OVER w THEN 0 ELSE 1 END AS nw FROM lk WINDOW w AS (PARTITION BY document_id ORDER BY page)),
       ch AS (SELECT *, sum(nw) OVER (PARTITION BY document_id ORDER BY page) AS chain FROM nw)
       SELECT document_id, page, upper, lower, row_number() OVER (PARTITION BY document_id, chain ORDER BY page) % 2 = 1 AS take FROM ch""",
-    "heading_rank": """WITH t AS (SELECT DISTINCT l_suppkey::VARCHAR AS document_id, round_even(l_quantity / 3 * 2, 0) / 2 AS tier FROM lineitem),
+    "heading_rank": f"""WITH {_BLOCKS}, t AS (SELECT DISTINCT document_id, round_even(size * 2, 0) / 2 AS tier FROM (SELECT document_id, floor((x1 - x0) / 16) / 2 - 5 AS size FROM b WHERE raw_text IS NOT NULL) WHERE size > 0),
       r AS (SELECT *, dense_rank() OVER (PARTITION BY document_id ORDER BY tier DESC) AS k FROM t)
       SELECT document_id, tier, ['heading1', 'heading2', 'heading3', 'body', 'caption', 'comment'][least(k, 6)] AS role FROM r""",
     "eval_names": "WITH " + _score(f"SELECT {_blank('field_name')} AS k FROM instruction_field_map WHERE {_blank('field_name')} IS NOT NULL", f"SELECT {_blank('field_name')} AS k FROM field_domain_catalog WHERE {_blank('field_name')} IS NOT NULL", "k"),
