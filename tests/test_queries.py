@@ -2,11 +2,11 @@
 
 import pytest
 
-from pagelode.plans import problem_queries, reference_queries
+from pagelode.plans import operator_queries, problem_queries, reference_queries
 from tests.sqlcheck import BASE, compare, duck  # noqa: F401
 
-QUERIES = {**reference_queries.QUERIES, **problem_queries.QUERIES}
-SQL = {**reference_queries.ORACLE, **problem_queries.ORACLE}
+QUERIES = {**reference_queries.QUERIES, **operator_queries.QUERIES, **problem_queries.QUERIES}
+SQL = {**reference_queries.ORACLE, **operator_queries.ORACLE, **problem_queries.ORACLE}
 
 
 def test_every_sql_has_a_query():
