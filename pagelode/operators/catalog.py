@@ -95,6 +95,23 @@ def field_map_from_truth(truth: DataFrame, run_id: str = "run") -> DataFrame:
     )
 
 
+def global_schema_from_truth(names: DataFrame) -> DataFrame:
+    """One row: the sorted distinct canonical names of a (hand-written) list and their number."""
+    n = F.array_sort(F.collect_set("field_name"))
+    return names.agg(n.alias("canonical_field_names"), F.size(n).alias("n_fields"))
+
+
+def typed_from_truth(truth: dict[str, DataFrame], run_id: str = "run") -> dict[str, DataFrame]:
+    """Registry, field types and domains from ground truth, with ids of their own and empty references."""
+    prefix = {"types": "reg", "dtypes": "dtype", "domains": "domain"}
+    return {k: with_trace_ids(truth[k].withColumn("source_refs", F.array().cast("array<struct<page:int>>")), run_id, p) for k, p in prefix.items() if k in truth}
+
+
+def graph_from_truth(truth: dict[str, DataFrame], run_id: str = "run") -> dict[str, DataFrame]:
+    """Constraints with ids of their own, nodes and edges from ground truth."""
+    return {**truth, "constraints": with_trace_ids(truth["constraints"], run_id, "c")}
+
+
 def with_trace_ids(df: DataFrame, run_id: str, prefix: str, pos: str = "pos") -> DataFrame:
     """Fills missing trace ids with ``{run}:{prefix}:{pos}`` and missing references with an empty list."""
     out = df.withColumn("trace_id", F.coalesce(F.col("trace_id") if "trace_id" in df.columns else F.lit(None).cast("string"), S.trace_id(run_id, F.lit(prefix), F.col(pos))))

@@ -7,6 +7,7 @@ kept as a table, from which later runs answer without the engine.
 from __future__ import annotations
 
 import json
+import logging
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 ChatClient = Callable[[str, str], str]  # (system prompt, user message) -> reply text
 PageReader = Callable[[bytes, str], list[dict]]  # (document bytes, document id) -> page_blocks rows
-OcrEngine = Callable[[bytes], str]  # image bytes -> text
+OcrEngine = Callable[..., object]  # image bytes (, region, dpi) -> text, or lists of texts or of (box, text, score)
 
 _FENCE = re.compile(r"^\s*```[A-Za-z0-9]*\s*\n?(.*?)\n?\s*```\s*$", re.S)
 
@@ -34,6 +35,31 @@ class ChatConfig:
     extra: dict = field(default_factory=dict)
 
 
+_SAID: set[str] = set()
+
+
+def said_once(source: str, error: Exception) -> None:
+    """Logs the first failure of a source in this process; an optional engine that is missing is no news after that."""
+    if source not in _SAID:
+        _SAID.add(source)
+        logging.getLogger("pagelode").warning("%s: %s", source, error)
+
+
+def recognized_text(result: object) -> str:
+    """Text of whatever shape an engine answers in: text, dicts with ``text`` or ``rec_texts``, (box, text, score), and lists of these."""
+    if result is None:
+        return ""
+    if isinstance(result, str):
+        return result.strip()
+    if isinstance(result, dict):
+        return recognized_text(result.get("text", result.get("rec_texts")))
+    if isinstance(result, (list, tuple)):
+        if len(result) > 1 and not isinstance(result[0], str) and isinstance(result[1], (str, tuple)):
+            return recognized_text(result[1][0] if isinstance(result[1], tuple) else result[1])
+        return "\n".join(t for t in map(recognized_text, result) if t)
+    return ""
+
+
 def json_object(reply: str | None) -> str:
     """The JSON object in a reply, fences removed; anything else is ``{}``."""
     text = (reply or "").strip()
@@ -108,6 +134,29 @@ def normalized_domains(items: DataFrame) -> DataFrame:
     )
 
 
+def mapped_types(items: DataFrame) -> DataFrame:
+    """Field types from extracted items: named instructions and fields only, the raw type defaults to the reference."""
+    from pagelode.functions.scalars import normalize_variation
+    from pagelode.functions.text import blank_to_null, strip
+
+    ref = strip(F.coalesce("data_type_ref", F.lit("")))
+    named = items.filter(blank_to_null("instruction_name").isNotNull() & blank_to_null("field_name").isNotNull())
+    return named.select(
+        *[c for c in ("document_id",) if c in items.columns], "pos", F.upper(strip("instruction_name")).alias("instruction_name"), normalize_variation("variation").alias("variation"), strip("field_name").alias("field_name"),
+        F.coalesce(blank_to_null("data_type_raw"), ref).alias("data_type_raw"), ref.alias("data_type_ref"), F.coalesce(F.col("source_page").try_cast("int"), F.lit(1)).alias("page"),
+    )
+
+
+def bound_values(items: DataFrame) -> DataFrame:
+    """Values bound to nodes from extracted items; those without a node are left out."""
+    from pagelode.functions.text import blank_to_null, strip
+
+    text = lambda c: strip(F.coalesce(c, F.lit("")))
+    return items.filter(blank_to_null("node_id").isNotNull()).select(
+        *[c for c in ("document_id",) if c in items.columns], strip("node_id").alias("node_id"), text("property").alias("property"), text("value").alias("value"), F.coalesce(F.col("source_page").try_cast("int"), F.lit(1)).alias("source_page")
+    )
+
+
 def read_documents(spark: SparkSession, path: str, reader: PageReader, glob: str = "*.pdf") -> DataFrame:
     """Page blocks of document files: one file per row, read by an injected reader in the workers."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
@@ -127,19 +176,34 @@ def read_documents(spark: SparkSession, path: str, reader: PageReader, glob: str
     )
 
 
-def read_optically(images: DataFrame, engine: OcrEngine | None, image: str = "image", full_page: bool = False) -> DataFrame:
-    """Adds ``raw_text`` and ``confidence_score`` from an optical engine; without one texts are empty."""
+def read_optically(images: DataFrame, engine: OcrEngine | None, image: str = "image", full_page: bool = False, region: str | None = None, dpi: int | None = None) -> DataFrame:
+    """Adds ``raw_text`` and ``confidence_score`` from an optical engine; without one, and where it fails, texts are empty.
+
+    With ``region`` (a column of boxes) or ``dpi`` the engine is called with (image, box or None, dpi).
+    """
     from pagelode.functions.scalars import ocr_confidence
 
     if engine is None:
         return images.withColumn("raw_text", F.lit("")).withColumn("confidence_score", ocr_confidence("raw_text", full_page))
 
+    plain = region is None and dpi is None
+
+    def one(x: bytes | None, box: object) -> str:
+        if x is None:
+            return ""
+        try:
+            return recognized_text(engine(x) if plain else engine(x, box, dpi))
+        except Exception as e:
+            said_once("optical engine", e)
+            return ""
+
     @F.pandas_udf("string")
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series([engine(x) or "" if x is not None else "" for x in s], dtype="object")
+    def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for s, boxes in batches:
+            yield pd.Series([one(x, None if b is None else list(b)) for x, b in zip(s, boxes)], dtype="object")
 
-    return images.withColumn("raw_text", read(image)).withColumn("confidence_score", ocr_confidence("raw_text", full_page))
+    box = F.lit(None).cast("array<double>") if region is None else F.array(*(F.col(f"{region}.{c}") for c in ("x0", "y0", "x1", "y1")))
+    return images.withColumn("raw_text", read(F.col(image), box)).withColumn("confidence_score", ocr_confidence("raw_text", full_page))
 
 
 def table_text(cells: DataFrame, by: list[str]) -> DataFrame:

@@ -129,6 +129,44 @@ def combination_matrix(values: DataFrame, most: int = 1000) -> DataFrame:
     return whole.unionByName(cover).select("document_id", "scope", "combo", F.map_from_entries("out").alias("assignment"))
 
 
+def checked_values(values: DataFrame, constraints: DataFrame) -> DataFrame:
+    """Adds ``holds`` to values (document_id, scope, field_name, value): whether all constraints on the field hold, null if none can be checked.
+
+    ``constraints``: (document_id, applies_to, domain_constraint_meta). A value is checked once, not in every combination.
+    """
+    from pagelode.operators.constraints import evaluate_domain
+
+    c = constraints.filter("applies_to.entity_type = 'Field' AND domain_constraint_meta IS NOT NULL").select(
+        "document_id", F.upper("applies_to.entity_name").alias("_f"), F.col("domain_constraint_meta.structured_domain").alias("structured_domain")
+    ).distinct()
+    distinct = values.select("document_id", "field_name", "value").distinct()
+    verdict = distinct.withColumn("_f", F.upper("field_name")).join(c, ["document_id", "_f"]).select("document_id", "field_name", "value", evaluate_domain().alias("ok"))
+    held = verdict.groupBy("document_id", "field_name", "value").agg(F.bool_and("ok").alias("holds"))
+    return values.join(held, ["document_id", "field_name", "value"], "left")
+
+
+def test_cases(values: DataFrame, constraints: DataFrame, prune: bool = True, most: int = 1000) -> DataFrame:
+    """Combinations with ``constraint_satisfaction_status``: (document_id, scope, combo, assignment, status).
+
+    With ``prune`` values that break a constraint are left out before anything is combined, else their combinations are
+    marked ``violated``; where some value could be checked and all hold it is ``satisfied``, else ``assumed_valid``.
+    """
+    checked = materialize(checked_values(values, constraints), "checked-values")
+    used = checked.filter("holds IS NULL OR holds") if prune else checked
+    m = combination_matrix(used.select("document_id", "scope", "field_name", "value"), most)
+    known = used.filter("holds IS NOT NULL").select("document_id", "scope", F.struct("field_name", "value").alias("p"), "holds")
+    facts = known.groupBy("document_id", "scope").agg(F.collect_set(F.when(F.col("holds"), F.col("p"))).alias("_yes"), F.collect_set(F.when(~F.col("holds"), F.col("p"))).alias("_no"))
+    # A scope's values are its fields' boundary values, so its lists are short.
+    pairs = F.transform(F.map_entries("assignment"), lambda e: F.struct(e["key"].alias("field_name"), e["value"].alias("value")))
+    status = F.when(F.arrays_overlap(pairs, "_no"), "violated").when(F.arrays_overlap(pairs, "_yes"), "satisfied").otherwise("assumed_valid")
+    return m.join(facts, ["document_id", "scope"], "left").select("document_id", "scope", "combo", "assignment", status.alias("constraint_satisfaction_status"))
+
+
+def wide_cases(cases: DataFrame, names: list[str], unused: str = "X") -> DataFrame:
+    """Test cases as a table with a column for each canonical field; fields that a case does not use hold ``unused`` (do not care)."""
+    return cases.select("document_id", "scope", "combo", "constraint_satisfaction_status", *(F.coalesce(F.col("assignment")[n], F.lit(unused)).alias(n) for n in names))
+
+
 def running_counts(events: DataFrame, key: str, at: str) -> DataFrame:
     """Cumulative frequency of each key in order, the relational core of a running glossary."""
     w = Window.partitionBy(key).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)

@@ -31,6 +31,22 @@ def merge_boxes(boxes: DataFrame, by: list[str]) -> DataFrame:
     return out.select(*by, "cluster", "n_boxes", G.box(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")).alias("bbox"), (F.col("n_boxes") > 1).alias("merged"))
 
 
+def table_blocks(detected: DataFrame, by: list[str]) -> DataFrame:
+    """Table blocks of pages from detected tables (``by``, bbox, raw_text, clip_text): (``by``, cluster, bbox, raw_text, extraction_method).
+
+    Tables that meet vertically become one, whose texts follow one another down the page; a table without text has what
+    the page shows in its box (``clip_text``). A merged one is labelled so.
+    """
+    c = cluster_boxes(detected, by)
+    own = F.when(F.trim(F.coalesce("raw_text", F.lit(""))) != "", F.col("raw_text")).otherwise(F.coalesce("clip_text", F.lit("")))
+    text = F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(F.struct("bbox.y0", "bbox.x0", own.alias("t")))), lambda x: x["t"]), lambda t: t != ""), "\n")
+    out = c.groupBy(*by, "cluster").agg(
+        F.count("*").alias("_n"), F.min("bbox.x0").alias("x0"), F.min("bbox.y0").alias("y0"), F.max("bbox.x1").alias("x1"), F.max("bbox.y1").alias("y1"), text.alias("raw_text")
+    )
+    label = F.when(F.col("_n") > 1, "table_merged").otherwise("table_detected")
+    return out.select(*by, "cluster", G.box(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")).alias("bbox"), "raw_text", label.alias("extraction_method"))
+
+
 def cluster_adjacent(boxes: DataFrame, by: list[str], box_id: str, gap: float = 5.0, least: float = 0.5, sideways: bool = False) -> DataFrame:
     """The older clustering by adjacency (gap and overlap ratio): (``by``, ``box_id``, ``cluster``).
 

@@ -166,17 +166,53 @@ def chat_context(hits: DataFrame, max_hits: int = 8) -> DataFrame:
     )
 
 
+#: Ways to look for blocks.
+MODES = ("vector", "keyword", "hybrid")
+
+
 @dataclass(frozen=True)
 class RetrievalConfig:
-    """Settings of retrieval before extraction: whether, from where, how many, with which query and model."""
+    """Settings of retrieval before extraction: whether, how many, with which query and in which mode."""
 
     enabled: bool = False
-    index_path: str = "artifacts/index"
     top_k: int = TOP_K
     query: str = ""
-    query_mode: str = "hybrid"
-    model: str = ""
-    rebuild: bool = False
+    mode: str = "hybrid"
+
+
+def retrieve(blocks: DataFrame, cfg: RetrievalConfig, embedder, query: str = "") -> DataFrame:  # noqa: ANN001
+    """(document_id, block_id, rank) of the ``top_k`` blocks for a query: by vectors, by words of the query, or by both.
+
+    Each block is a text of its own (its header and stripped text). ``hybrid`` adds the reciprocal ranks of both ways; ids
+    come out once, at their best rank.
+    """
+    if cfg.mode not in MODES:
+        raise ValueError(f"no such mode: {cfg.mode}")
+    text = query or cfg.query
+    rows = index_rows(blocks).select(F.concat_ws("\u0000", "document_id", "block_id").alias("id"), "text")
+    ways = []
+    if cfg.mode in ("vector", "hybrid"):
+        q = [float(x) for x in embedder([text])[0]]
+        ways.append(top_k(embed(rows, embedder), q, cfg.top_k, "vec", "id").select("id", "score"))
+    if cfg.mode in ("keyword", "hybrid"):
+        words = sorted({w.lower() for w in text.split()})
+        found = [F.when(F.contains(F.lower("text"), F.lit(w)), 1.0).otherwise(0.0) for w in words] or [F.lit(0.0)]
+        ways.append(rows.select("id", sum(found[1:], found[0]).alias("score")).filter("score > 0").orderBy(F.desc("score"), "id").limit(cfg.top_k))
+    # At most top_k rows a way: their ranks need no partition.
+    ranked = [w.select("id", F.row_number().over(Window.orderBy(F.desc("score"), "id")).alias("r")) for w in ways]
+    both = ranked[0] if len(ranked) == 1 else ranked[0].unionByName(ranked[1])
+    best = both.groupBy("id").agg(F.sum(1.0 / (F.col("r") + 60)).alias("score")).orderBy(F.desc("score"), "id").limit(cfg.top_k)
+    parts = F.split("id", "\u0000")
+    return best.select(parts[0].alias("document_id"), parts[1].alias("block_id"), F.row_number().over(Window.orderBy(F.desc("score"), "id")).alias("rank"))
+
+
+def with_neighbours(hits: DataFrame, blocks: DataFrame, reach: int = 1) -> DataFrame:
+    """Blocks of hits and those up to ``reach`` places before and after them in reading order: (document_id, block_id)."""
+    from pagelode.operators.blocks import reading_position
+
+    placed = reading_position(blocks).select("document_id", "block_id", "read_pos")
+    around = placed.join(hits.select("document_id", "block_id").distinct(), ["document_id", "block_id"]).select("document_id", F.explode(F.sequence(F.col("read_pos") - reach, F.col("read_pos") + reach)).alias("read_pos")).distinct()
+    return placed.join(around, ["document_id", "read_pos"]).select("document_id", "block_id")
 
 
 def coverage_metric(coverage: DataFrame, metric: str = "binary") -> DataFrame:

@@ -398,6 +398,57 @@ def satisfied_domains(s: SparkSession, d: str) -> DataFrame:
     return r.select("trace_id", K.evaluate_domain().alias("satisfied"))
 
 
+def typed_fields(s: SparkSession, d: str) -> DataFrame:
+    """Fields with their type and the form of their domain."""
+    key = ["document_id", "name", "var", "field"]
+    k = lambda t: once(s, d, t).select("*", *_field_key()).filter("field IS NOT NULL")
+    types = k("field_datatype_catalog").select(*key, blank_to_null("data_type_ref").alias("type_id")).filter("type_id IS NOT NULL").distinct()
+    forms = k("field_domain_catalog").select(*key, S.value_form("allowed_value_form").alias("form")).distinct()
+    return types.join(forms, key)
+
+
+def _field_key() -> tuple[F.Column, ...]:
+    return (
+        F.upper(strip(F.coalesce("instruction_name", F.lit("")))).alias("name"), F.coalesce(S.normalize_variation("variation"), F.lit("")).alias("var"), F.upper(blank_to_null("field_name")).alias("field"),
+    )
+
+
+def constraint_kinds(s: SparkSession, d: str) -> DataFrame:
+    """How many constraints of each kind a field has."""
+    c = once(s, d, "constraint_registry").filter("applies_to.entity_type = 'Field'")
+    return c.groupBy(F.upper(blank_to_null("applies_to.entity_name")).alias("field"), "constraint_type_level1").agg(F.count("*").alias("n_rows"))
+
+
+def types_of_one_manual(s: SparkSession, d: str) -> DataFrame:
+    """Types that a single manual refers to."""
+    t = once(s, d, "field_datatype_catalog").select("document_id", F.lower(blank_to_null("data_type_ref")).alias("type_id")).filter("type_id IS NOT NULL")
+    return t.groupBy("type_id").agg(F.count_distinct("document_id").alias("n"), F.min("document_id").alias("document_id")).filter("n = 1").select("type_id", "document_id")
+
+
+def version_changes(s: SparkSession, d: str) -> DataFrame:
+    """Instructions added and removed between a manual and the one before it in its family (name without number)."""
+    from pyspark.sql import Window
+
+    scopes = catalog(s, d).select("document_id", S.scope_label("instruction_name", "variation").alias("scope")).distinct()
+    docs = scopes.select("document_id").distinct().withColumn("family", F.regexp_replace("document_id", "_[0-9]+$", ""))
+    before = docs.withColumn("before", F.lag("document_id").over(Window.partitionBy("family").orderBy("document_id"))).filter("before IS NOT NULL").select("document_id", "before")
+    new = scopes.join(before, "document_id").select("document_id", "scope", F.lit(1).alias("n"), F.lit(0).alias("o"))
+    old = scopes.withColumnRenamed("document_id", "before").join(before, "before").select("document_id", "scope", F.lit(0).alias("n"), F.lit(1).alias("o"))
+    per = new.unionByName(old).groupBy("document_id", "scope").agg(F.max("n").alias("n"), F.max("o").alias("o"))
+    return per.groupBy("document_id").agg(F.count_if(F.col("o") == 0).alias("added"), F.count_if(F.col("n") == 0).alias("removed"), F.count_if((F.col("n") == 1) & (F.col("o") == 1)).alias("kept"))
+
+
+def retrieved_blocks(s: SparkSession, d: str) -> DataFrame:
+    """Blocks that hold the words of a question, best first."""
+    return V.retrieve(page_blocks(s, d), V.RetrievalConfig(True, 48, "reset register overflow sticky", "keyword"), None)
+
+
+def neighbour_windows(s: SparkSession, d: str) -> DataFrame:
+    """Hits with the blocks before and after them."""
+    b = page_blocks(s, d)
+    return V.with_neighbours(b.filter(_pick("trace_id") % 16 == 0), b)
+
+
 # --- strategies around outside engines ------------------------------------------------------------------------
 
 
@@ -442,5 +493,5 @@ QUERIES = {f.__name__: f for f in (
     jsonl_roundtrip, jsonl_missing, report_roundtrip, uploaded_rows, csv_union_roundtrip, pages_roundtrip, page_range, index_roundtrip, graph_sink, graph_file, truth_files, override_sheet,
     scope_columns, truth_catalog, truth_field_map, filled_trace_ids, block_references, field_lines, item_constraints, cited_blocks, selected_blocks, text_outside_tables, numbered_blocks,
     page_extents, box_relations, span_roles, tagged_headings, heading_texts, merged_spans, script_marks, block_sizes, supplemented, prompts, embedded_texts, narrowed_blocks, ranked_ids,
-    chat_contexts, coverage_measure, viewer_nodes, eval_graph, matched_aliases, overlapping_chunks, satisfied_domains, extracted_instructions, extracted_domains, optical_texts, table_cells,
+    chat_contexts, coverage_measure, viewer_nodes, eval_graph, matched_aliases, overlapping_chunks, satisfied_domains, typed_fields, constraint_kinds, types_of_one_manual, version_changes, retrieved_blocks, neighbour_windows, extracted_instructions, extracted_domains, optical_texts, table_cells,
 )}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagelode.plans.reference_sql import _BLOCKS, _CAT, _CONS, _DOMX, _DOTS, _DASH, _GRAPH, _MAP, _NAME, _PIECE, _SCORES, _VALUE, _VAR, _blank, _strip
+from pagelode.plans.reference_sql import _BLOCKS, _CAT, _CONS, _DOMX, _DOTS, _DASH, _GRAPH, _MAP, _NAME, _PIECE, _SCORES, _TYPES, _VALUE, _VAR, _blank, _strip
 from pagelode.plans.reference_sql import ORACLE as _REFERENCE
 
 _R = f"r AS (SELECT *, length(t) % 8 AS n, lower(t) AS l FROM (SELECT DISTINCT upper(regexp_replace({_strip('type_id')}, '[^A-Za-z0-9_]+', '_', 'g')) AS t FROM datatype_registry) WHERE t <> '')"
@@ -123,6 +123,20 @@ ORACLE = {
     "overlapping_chunks": "SELECT doc_id::VARCHAR AS document_id, i::INT AS chunk_no, md5(substring(text, i * 1800 + 1, 2000)) AS text FROM (SELECT doc_id, text, unnest(range(0, greatest(1, ceil((length(text) - 200) / 1800.0)::BIGINT))) AS i FROM documents WHERE length(text) > 0)",
     "satisfied_domains": rf"""WITH {_DOMX}, y AS (SELECT *, CASE WHEN regexp_matches(av, {_DOTS}) THEN regexp_extract(av, {_DOTS}, 1) WHEN regexp_matches(av, {_DASH}) THEN regexp_extract(av, {_DASH}, 1) END AS lo, CASE WHEN regexp_matches(av, {_DOTS}) THEN regexp_extract(av, {_DOTS}, 2) WHEN regexp_matches(av, {_DASH}) THEN regexp_extract(av, {_DASH}, 2) END AS hi FROM x)
       SELECT trace_id, CASE WHEN form = 'enum' THEN CASE WHEN av <> '' THEN list_contains(CASE WHEN len(items) > 0 THEN items ELSE [av] END, '3') END WHEN form = 'range' AND {_number('lo')} IS NOT NULL AND {_number('hi')} IS NOT NULL THEN 3 BETWEEN {_number('lo')} AND {_number('hi')} END AS satisfied FROM y""",
+    "typed_fields": f"""WITH {_TYPES}, {_DOMX}, t AS (SELECT DISTINCT document_id, name, coalesce(var, '') AS var, upper(field_name) AS field, dt AS type_id FROM f WHERE field_name IS NOT NULL AND dt IS NOT NULL),
+      o AS (SELECT DISTINCT x.document_id, {_NAME} AS name, coalesce({_VAR}, '') AS var, upper({_blank('x.field_name')}) AS field, form FROM x JOIN (SELECT DISTINCT trace_id, instruction_name, variation FROM field_domain_catalog) USING (trace_id) WHERE {_blank('x.field_name')} IS NOT NULL)
+      SELECT t.document_id, t.name, t.var, t.field, type_id, form FROM t JOIN o ON o.document_id = t.document_id AND o.name = t.name AND o.var = t.var AND o.field = t.field""",
+    "constraint_kinds": f"WITH {_CONS} SELECT upper(en) AS field, l1 AS constraint_type_level1, count(*) AS n_rows FROM k WHERE et = 'Field' GROUP BY ALL",
+    "types_of_one_manual": f"WITH {_TYPES} SELECT lower(dt) AS type_id, min(document_id) AS document_id FROM f WHERE dt IS NOT NULL GROUP BY lower(dt) HAVING count(DISTINCT document_id) = 1",
+    "version_changes": f"""WITH {_CAT}, s AS (SELECT DISTINCT document_id, scope FROM c), b AS (SELECT document_id, lag(document_id) OVER (PARTITION BY regexp_replace(document_id, '_[0-9]+$', '') ORDER BY document_id) AS before FROM (SELECT DISTINCT document_id FROM s)),
+      j AS (SELECT b.document_id, s.scope, 1 AS n, 0 AS o FROM s JOIN b ON b.document_id = s.document_id WHERE before IS NOT NULL UNION ALL SELECT b.document_id, s.scope, 0, 1 FROM s JOIN b ON b.before = s.document_id), p AS (SELECT document_id, scope, max(n) AS n, max(o) AS o FROM j GROUP BY ALL)
+      SELECT document_id, count(*) FILTER (o = 0) AS added, count(*) FILTER (n = 0) AS removed, count(*) FILTER (n = 1 AND o = 1) AS kept FROM p GROUP BY ALL""",
+    "retrieved_blocks": f"""WITH {_BLOCKS}, r AS (SELECT *, row_number() OVER (PARTITION BY document_id, page ORDER BY block_id, block_type, trace_id) - 1 AS at_page FROM b WHERE {_blank('raw_text')} IS NOT NULL),
+      x AS (SELECT document_id, block_id, lower('[page=' || page || ' block_id=' || block_id || ' type=' || block_type || ' index_on_page=' || at_page || ']' || chr(10) || substring({_strip('raw_text')}, 1, 12000)) AS t FROM r),
+      y AS (SELECT document_id, block_id, {' + '.join(f"contains(t, '{w}')::INT" for w in ('reset', 'register', 'overflow', 'sticky'))} AS score FROM x)
+      SELECT document_id, block_id, row_number() OVER (ORDER BY score DESC, document_id || chr(0) || block_id) AS rank FROM y WHERE score > 0 QUALIFY rank <= 48""",
+    "neighbour_windows": f"""WITH {_BLOCKS}, o AS (SELECT document_id, block_id, trace_id, row_number() OVER (PARTITION BY document_id ORDER BY page, y0, x0, trace_id) AS at_doc FROM b), h AS (SELECT * FROM o WHERE {_pick('trace_id')} % 16 = 0)
+      SELECT DISTINCT o.document_id, o.block_id FROM o JOIN h ON h.document_id = o.document_id AND o.at_doc BETWEEN h.at_doc - 1 AND h.at_doc + 1""",
     "extracted_instructions": f"""WITH {_BLOCKS}, {_KEPT}, f AS (SELECT document_id, page, arg_min(block_id, nth) AS block_id FROM kept GROUP BY ALL)
       SELECT 'run:instr:' || (row_number() OVER (PARTITION BY document_id ORDER BY 'I' || page) - 1) AS trace_id, document_id, 'I' || page AS instruction_name, block_id AS aliases, page::BIGINT AS opcode_value, 'UNKNOWN_UNIT' AS execution_unit, 0.5::DOUBLE AS confidence_score, page FROM f""",
     "extracted_domains": f"WITH {_BLOCKS}, {_KEPT} SELECT document_id, nth::INT AS pos, block_id AS field_name, 'range' AS allowed_value_form, '0..' || page AS allowed_values_or_range, page FROM kept",

@@ -353,7 +353,7 @@ def pipeline_nodes(s: SparkSession, d: str) -> DataFrame:
     """The whole chain from blocks to the graph: field map, types, domains, constraints, nodes and edges."""
     from pagelode.plans.pipeline import run_chain
 
-    out = run_chain({"page_blocks": page_blocks(s, d), "instruction_catalog": catalog(s, d)})
+    out = run_chain({"page_blocks": page_blocks(s, d), "instruction_catalog": catalog(s, d)}, until="graph")
     n, e = out["nodes"], out["edges"]
     return n.groupBy("type").agg(F.count("*").alias("n")).unionByName(e.groupBy(F.col("rel").alias("type")).agg(F.count("*").alias("n")))
 
