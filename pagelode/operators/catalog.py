@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagelode.functions import scalars as S
 from pagelode.functions.text import blank_to_null, strip
+from pagelode.session import materialize
 
 
 def attach_scope(df: DataFrame, name: str = "instruction_name", variation: str = "variation") -> DataFrame:
@@ -62,8 +63,7 @@ def instruction_catalog(items: DataFrame, run_id: str = "run") -> DataFrame:
         F.coalesce(c("source_page").try_cast("int"), F.lit(1)).alias("page"), _aliases(items),
     ).filter((F.length("instruction_name") > 0) & (F.length("instruction_name") <= 64))
     f = fold_by_confidence(n, ["document_id", "instruction_name", "variation"], "pos", "confidence_score")
-    w = Window.partitionBy("document_id").orderBy("instruction_name", "variation")
-    return f.withColumn("_i", F.row_number().over(w) - 1).select(
+    return numbered_by(f, ["instruction_name", "variation"], "document_id").withColumnRenamed("n", "_i").select(
         S.trace_id(run_id, F.lit("instr"), c("_i")).alias("trace_id"), "document_id", "instruction_name", F.nullif("variation", F.lit("")).alias("variation"), "aliases", "opcode_raw",
         S.opcode_radix("opcode_raw").alias("opcode_radix"), S.opcode_value("opcode_raw").alias("opcode_value"), "execution_unit", "instruction_kind",
         F.round("instruction_kind_confidence", 4).alias("instruction_kind_confidence"), F.round("confidence_score", 4).alias("confidence_score"),
@@ -76,9 +76,8 @@ def catalog_from_truth(truth: DataFrame, run_id: str = "run") -> DataFrame:
     k = truth.withColumns({"instruction_name": F.upper(strip(F.coalesce("instruction_name", F.lit("")))), "variation": F.coalesce(S.normalize_variation("variation"), F.lit(""))})
     one = last_wins(k.filter("instruction_name <> ''"), ["instruction_name", "variation"], "pos")
     raw = S.opcode_text("opcode_raw", "opcode_value")
-    w = Window.orderBy("instruction_name", "variation")  # ground truth is a hand-written list
-    return one.withColumn("_raw", raw).select(
-        S.trace_id(run_id, F.lit("gt"), F.row_number().over(w) - 1).alias("trace_id"), "instruction_name", F.nullif("variation", F.lit("")).alias("variation"), _aliases(one), F.col("_raw").alias("opcode_raw"),
+    return numbered_by(one.withColumn("_raw", raw), ["instruction_name", "variation"]).select(
+        S.trace_id(run_id, F.lit("gt"), F.col("n")).alias("trace_id"), "instruction_name", F.nullif("variation", F.lit("")).alias("variation"), _aliases(one), F.col("_raw").alias("opcode_raw"),
         F.when(S.opcode_value("_raw").isNotNull(), S.opcode_radix("_raw")).otherwise("unknown").alias("opcode_radix"), F.coalesce(S.opcode_value("_raw"), F.col("opcode_value").cast("bigint")).alias("opcode_value"),
         F.coalesce(blank_to_null("execution_unit"), F.lit("UNKNOWN_UNIT")).alias("execution_unit"), S.clamp_choice("instruction_kind", S.INSTRUCTION_KINDS, "unknown").alias("instruction_kind"),
         F.lit(1.0).alias("instruction_kind_confidence"), F.lit(1.0).alias("confidence_score"),
@@ -127,26 +126,30 @@ def datatype_registry(items: DataFrame, run_id: str = "run") -> DataFrame:
     """Types by normalised id, the first of each kept, numbered in the order of ids; unknown ids are left out."""
     n = items.withColumn("type_id", type_slug("type_id")).filter("type_id <> 'UNKNOWN_TYPE'")
     one = first_wins(n.select("type_id", "pos", *[c for c in ("type_name_raw", "category", "description") if c in items.columns]), ["type_id"], "pos")
-    # Ranked inside ranges of ids: see numbered_by.
     return numbered_by(one, "type_id").select(
         S.trace_id(run_id, F.lit("reg"), F.col("n")).alias("trace_id"), "type_id", F.coalesce(blank_to_null("type_name_raw"), F.col("type_id")).alias("type_name_raw"),
         F.col("type_id").alias("type_name_normalized"), S.clamp_choice("category", S.DATATYPE_CATEGORIES, "unknown").alias("category"), strip(F.coalesce("description", F.lit(""))).alias("description"),
     )
 
 
-def numbered_by(df: DataFrame, key: str | list[str], lead: str | None = None) -> DataFrame:
-    """Adds ``n``, the rank from 0 by a unique string key: rank in its leading characters plus the sizes of smaller ones.
+def numbered_by(df: DataFrame, key: str | list[str], by: str | None = None) -> DataFrame:
+    """Adds ``n``, the rank from 0 in the order of ``key`` (of each ``by``, if given).
 
-    No single task sorts the whole table, as a window without partitions would. A column ``lead`` that comes before
-    ``key`` in the order takes the place of the leading characters; then ``key`` may be several columns.
+    The table is sorted by ranges and written once with the place of each row in its range; the sizes of the ranges before,
+    a row for each range, give the rest. No single task sorts the table or a large group of it.
     """
-    lead = F.col(lead) if lead else F.substring(F.col(key), 1, 2)
-    d = df.withColumn("_lead", lead)
-    sizes = d.groupBy("_lead").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_lead").rowsBetween(Window.unboundedPreceding, -1)  # few distinct leads
-    offsets = sizes.select("_lead", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
-    inner = F.row_number().over(Window.partitionBy("_lead").orderBy(key)) - 1
-    return d.withColumn("_i", inner).join(offsets, "_lead").withColumn("n", F.col("_o") + F.col("_i")).drop("_lead", "_i", "_o")
+    order = [*([by] if by else []), *([key] if isinstance(key, str) else key)]
+    d = materialize(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part, place = F.shiftrightunsigned("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    d = d.withColumns({"_part": part, "_place": place})
+    group = [by] if by else []
+    sizes = d.groupBy(*group, "_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_from"))
+    before = (Window.partitionBy(by) if by else Window.partitionBy()).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*(F.col(c).alias(f"_{c}") for c in group), F.col("_part").alias("_p"), (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_from")).alias("_o"))
+    on = F.col("_part") == F.col("_p")
+    if by:
+        on = on & F.col(by).eqNullSafe(F.col(f"_{by}"))
+    return d.join(offsets, on).withColumn("n", F.col("_o") + F.col("_place")).drop("_at", "_part", "_place", "_p", "_o", *(f"_{c}" for c in group))
 
 
 def repair_types(mappings: DataFrame, registry: DataFrame) -> DataFrame:

@@ -90,11 +90,11 @@ def _best(score, ids, k: int):  # noqa: ANN001, ANN202
     return score, ids
 
 
-def top_k_many(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, vec: str = "embedding", row_id: str = "vec_id", query_block: int = 256) -> DataFrame:
+def top_k_many(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, vec: str = "embedding", row_id: str = "vec_id", query_block: int = 16_384) -> DataFrame:
     """The ``k`` best rows for each row of a stated query set: (query_id, ``row_id``, score, rank).
 
-    Queries go to the workers in blocks; every batch of vectors is one matrix product per block, of which only the
-    best k per query leave the task. ``queries``: (query_id, ``vec``).
+    Queries go to the workers in blocks of ``query_block``, each of which is one scan of the vectors; a batch of vectors
+    meets 256 queries at a time in a matrix product, and only the best k per query leave the task. ``queries``: (query_id, ``vec``).
     """
     import numpy as np
 
@@ -113,10 +113,12 @@ def top_k_many(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, vec: str
             for pdf in batches:
                 if not len(pdf):
                     continue
-                s = mat @ np.array(pdf[vec].tolist(), dtype=np.float64).T
-                cat_s = np.concatenate([best_s, s], axis=1)
-                cat_i = np.concatenate([best_i, np.broadcast_to(pdf[row_id].to_numpy(np.int64), s.shape)], axis=1)
-                best_s, best_i = _best(cat_s, cat_i, k)
+                rows, own = np.array(pdf[vec].tolist(), dtype=np.float64).T, pdf[row_id].to_numpy(np.int64)
+                for i in range(0, len(ids), 256):
+                    s = mat[i : i + 256] @ rows
+                    cat_s = np.concatenate([best_s[i : i + 256], s], axis=1)
+                    cat_i = np.concatenate([best_i[i : i + 256], np.broadcast_to(own, s.shape)], axis=1)
+                    best_s[i : i + 256], best_i[i : i + 256] = _best(cat_s, cat_i, k)
             real = np.isfinite(best_s)
             q = np.broadcast_to(ids[:, None], best_s.shape)
             yield pd.DataFrame({"query_id": q[real], row_id: best_i[real], "score": best_s[real]})

@@ -152,10 +152,8 @@ def stage_constraints(t: Tables, cfg: Config) -> Tables:
     """One constraint per domain row, numbered by field, manual, scope and text, with those a language model found."""
     d = t["field_domain_catalog"]
     cols = [c for c in ("field_name", "document_id", "instruction_name", "variation", "allowed_value_form", "allowed_values_or_range") if c in d.columns]
-    some = F.substring(F.sha2(F.col("document_id").cast("string"), 256), 1, 1) if "document_id" in d.columns else F.lit("")
     # Rows alike in all columns become equal constraints, so it does not matter which of them has which number.
-    d = d.select(*cols).withColumn("_lead0", F.concat_ws("\u0000", "field_name", some))
-    cons = K.constraints_from_domains(C.numbered_by(d, cols, "_lead0").withColumnRenamed("n", "pos"), cfg.run_id)
+    cons = K.constraints_from_domains(C.numbered_by(d.select(*cols), cols).withColumnRenamed("n", "pos"), cfg.run_id)
     if _asks(cfg, "constraints"):
         items = materialize(_ask(t, cfg, "constraints", "constraints", X.CONSTRAINT_ITEMS), "constraint-items")
         mapping = t["category_mapping"] if "category_mapping" in t else _categories(items, cfg)

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from pagelode.functions.scalars import heading_segments
 from pagelode.functions.text import split_lines, strip
-from pagelode.operators.blocks import reading_order
+from pagelode.operators.blocks import reading_order, reading_position
 
 
 @dataclass(frozen=True)
@@ -67,8 +67,8 @@ def write_csv(parts: list[DataFrame], path: str) -> DataFrame:
 
 def markdown_blocks(blocks: DataFrame) -> DataFrame:
     """Each block as Markdown: (document_id, page, read_pos, markdown); page marks stand before the first block of a page."""
-    w = Window.partitionBy("document_id").orderBy(*reading_order())
-    b = blocks.withColumns({"read_pos": F.row_number().over(w) - 1, "_new": F.coalesce(F.lag("page").over(w) != F.col("page"), F.lit(True)), "_first": F.row_number().over(w) == 1})
+    on_page = Window.partitionBy("document_id", "page").orderBy(*reading_order()[1:])
+    b = reading_position(blocks).withColumns({"_new": F.row_number().over(on_page) == 1, "_first": F.col("read_pos") == 0})
     raw = strip(F.coalesce("raw_text", F.lit("")))
     rows = F.transform(F.filter(split_lines(raw), lambda x: strip(x) != ""), lambda x: F.transform(F.split(x, "\t", -1), strip))
     width = F.array_max(F.transform(rows, lambda r: F.size(r)))
@@ -93,9 +93,9 @@ def markdown_blocks(blocks: DataFrame) -> DataFrame:
 
 
 def write_markdown(blocks: DataFrame, path: str) -> None:
-    """One folder per document, its blocks in reading order; documents are sorted within tasks, never as a whole."""
+    """One folder per document, its blocks in reading order; a large document is cut into several files, in the order of their names."""
     m = markdown_blocks(blocks).filter("markdown <> ''")
-    m.repartition("document_id").sortWithinPartitions("document_id", "read_pos").select("document_id", F.col("markdown").alias("value")).write.mode("overwrite").partitionBy("document_id").text(path)
+    m.repartitionByRange("document_id", "read_pos").sortWithinPartitions("document_id", "read_pos").select("document_id", F.col("markdown").alias("value")).write.mode("overwrite").partitionBy("document_id").text(path)
 
 
 def write_index(index: DataFrame, path: str, model: str = "", run_id: str = "") -> None:
@@ -114,5 +114,5 @@ def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
 
 
 def write_blocks(blocks: DataFrame, path: str) -> None:
-    """Page blocks partitioned by document; small files are avoided by one shuffle on the partition column."""
-    blocks.repartition("document_id").write.mode("overwrite").partitionBy("document_id").parquet(path)
+    """Page blocks partitioned by document; one shuffle on document and stretch of pages avoids small files and one task for a large document."""
+    blocks.repartition("document_id", F.floor(F.coalesce("page", F.lit(0)) / 512)).write.mode("overwrite").partitionBy("document_id").parquet(path)
