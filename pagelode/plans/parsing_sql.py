@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagelode.plans.reference_sql import _BLOCKS, _CAT, _EU, _PAGES, _TYPED, _blank, _score, _strip
+from pagelode.plans.reference_sql import _BLOCKS, _CAT, _DOMX, _EU, _IV, _PAGES, _SCOPE, _TYPED, _blank, _score, _strip
 
 _BITS = r"([0-9]{1,2})\s*:\s*([0-9]{1,2})"
 _LOOSE = r"\b([A-Za-z_][A-Za-z0-9_]*)\s+([0-9]{1,2}\s*:\s*[0-9]{1,2}|[0-9]{1,2})\b"
@@ -69,6 +69,21 @@ ORACLE = {
       UNION ALL SELECT 'instruction_field_map', unnest([{', '.join(f"CASE WHEN {_blank(x)} IS NULL THEN {{'rule': 'required', 'column_name': '{x}'}} END" for x in ('trace_id', 'instruction_name', 'field_name', 'bit_range'))},
         CASE WHEN isnan(confidence_score) OR confidence_score < 0 OR confidence_score > 1 THEN {{'rule': 'bounds', 'column_name': 'confidence_score'}} END, CASE WHEN word_index < 0 THEN {{'rule': 'bounds', 'column_name': 'word_index'}} END]) AS r FROM m)
       SELECT table_name, r.rule AS rule, r.column_name AS column_name, count(*) AS n_rows FROM v WHERE r IS NOT NULL GROUP BY ALL""",
+    "combinations": rf"""WITH {_DOMX}, s AS (SELECT DISTINCT trace_id, {_SCOPE} AS scope FROM field_domain_catalog),
+      y AS (SELECT x.document_id, scope, x.field_name, form, av, items, regexp_extract(lower(av), {_IV}, 1) AS a, regexp_extract(lower(av), {_IV}, 2) AS b, try_cast(regexp_extract(lower(av), '^([0-9]{{1,2}})\s*-?\s*bits?(?:\s+unsigned)?$', 1) AS INT) AS bits FROM x JOIN s USING (trace_id)),
+      z AS (SELECT *, CASE WHEN a <> '' THEN least(a::BIGINT, b::BIGINT) WHEN bits BETWEEN 1 AND 62 THEN 0 END AS lo, CASE WHEN a <> '' THEN greatest(a::BIGINT, b::BIGINT) WHEN bits BETWEEN 1 AND 62 THEN (1::BIGINT << bits) - 1 END AS hi FROM y),
+      v AS (SELECT document_id, scope, field_name, unnest(CASE WHEN lo IS NOT NULL THEN [lo::VARCHAR, least(lo + 1, hi)::VARCHAR, greatest(hi - 1, lo)::VARCHAR, hi::VARCHAR] WHEN form = 'enum' AND av <> '' THEN CASE WHEN len(items) > 0 THEN items ELSE [av] END END) AS val FROM z),
+      per AS (SELECT document_id, scope, field_name, list_sort(list(DISTINCT val)) AS vals FROM v GROUP BY ALL),
+      sc AS (SELECT document_id, scope, list({{'f': field_name, 'v': vals}} ORDER BY field_name) AS fs, greatest(2, max(len(vals))) AS mx, list(len(vals)::BIGINT ORDER BY field_name) AS sz FROM per GROUP BY ALL),
+      sq AS (SELECT *, list_filter(range(mx, 2 * mx + 1), lambda n: len(list_filter(range(2, n), lambda m: n % m = 0)) = 0)[1] AS q FROM sc),
+      sr AS (SELECT *, list_filter(range(1, 32), lambda t: pow(q, t) >= len(fs))[1] * q * q AS nr, list_aggregate(sz, 'product') AS total FROM sq),
+      cw AS (SELECT document_id, scope, fs, sz, unnest(range(0, total::BIGINT)) AS combo FROM sr WHERE total <= greatest(1000, nr)),
+      whole AS (SELECT document_id, scope, combo, list_transform(range(1, len(fs) + 1), lambda i: {{'f': fs[i].f, 'v': fs[i].v[(combo // (CASE WHEN i = 1 THEN 1 ELSE list_aggregate(sz[1:i - 1], 'product') END)::BIGINT) % sz[i] + 1]}}) AS a FROM cw),
+      cc AS (SELECT document_id, scope, fs, sz, q, unnest(range(0, nr::BIGINT)) AS combo FROM sr WHERE total > greatest(1000, nr)),
+      cp AS (SELECT *, pow(q, combo // (q * q))::BIGINT AS p, combo // q % q AS ra, combo % q AS rb FROM cc),
+      cv AS (SELECT document_id, scope, min(combo) AS combo, a FROM (SELECT document_id, scope, combo, list_transform(range(1, len(fs) + 1), lambda i: {{'f': fs[i].f, 'v': fs[i].v[(ra + rb * ((i - 1) // p % q)) % q % sz[i] + 1]}}) AS a FROM cp) GROUP BY document_id, scope, a),
+      al AS (SELECT document_id, scope, combo, a FROM whole UNION ALL SELECT document_id, scope, combo, a FROM cv)
+      SELECT document_id, scope, combo, '{{' || array_to_string(list_transform(a, lambda x: to_json(x.f) || ':' || to_json(x.v)), ',') || '}}' AS assignment FROM al""",
     "markdown_export": rf"""WITH {_BLOCKS}, o AS (SELECT *, {_RAW} AS raw, row_number() OVER w - 1 AS read_pos, coalesce(lag(page) OVER w <> page, true) AS new FROM b WINDOW w AS (PARTITION BY document_id ORDER BY page, y0, x0, trace_id)),
       r AS (SELECT *, list_transform(list_filter(string_split_regex(raw, '\r\n|[\n\r]'), lambda x: {_strip('x')} <> ''), lambda x: list_transform(string_split(x, chr(9)), lambda y: {_strip('y')})) AS rows FROM o),
       f AS (SELECT *, list_max(list_transform(rows, lambda x: len(x))) AS width FROM r), g AS (SELECT *, list_transform(rows, lambda x: '|' || array_to_string(list_resize(x, width, ''), '|') || '|') AS ful FROM f)
