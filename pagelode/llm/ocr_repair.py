@@ -444,6 +444,8 @@ def _running_parts(titles: DataFrame, rules: OcrRules) -> DataFrame:
 
 def repaired_text(text: str, drop: set[int], joined: dict[int, str], fixes: dict[tuple[int, str], str]) -> str:
     """One block as paragraphs: edge lines dropped, broken words joined, misread words corrected, lines unwrapped."""
+    wrong = {n for n, _ in fixes}
+
     def fix(line_no: int, line: str) -> str:
         def word(m: re.Match) -> str:
             w = m[0]
@@ -452,7 +454,7 @@ def repaired_text(text: str, drop: set[int], joined: dict[int, str], fixes: dict
                 return w
             return good.upper() if w.isupper() and len(w) > 1 else good.capitalize() if w[:1].isupper() else good
 
-        return re.sub(r"[^\s\-‐.,:;()\[\]{}<>|\"“”!?*•/\\]+", word, line) if fixes else line
+        return re.sub(r"[^\s\-‐.,:;()\[\]{}<>|\"“”!?*•/\\]+", word, line) if line_no in wrong else line
 
     paragraphs: list[str] = []
     current = ""
