@@ -375,27 +375,29 @@ def _edge_noise(blocks: DataFrame, looked: DataFrame, misread: DataFrame, rules:
     extent = blocks.filter(F.length(F.trim("text")) > 0).groupBy(*page).agg(
         F.min(F.struct("top", "block_id")).alias("_first"), F.max(F.struct("top", "block_id")).alias("_last")
     ).select(F.col("document_id").alias("_d"), F.col("page").alias("_p"), F.col("_first.block_id").alias("first"), F.col("_last.block_id").alias("last"))
-    outer = looked.filter("role IN ('edge', 'deep')").join(extent, F.col("document_id").eqNullSafe(F.col("_d")) & F.col("page").eqNullSafe(F.col("_p"))).filter(
+    outer = looked.filter("role = 'edge'").join(extent, F.col("document_id").eqNullSafe(F.col("_d")) & F.col("page").eqNullSafe(F.col("_p"))).filter(
         "(side LIKE '%T%' AND block_id = first) OR (side LIKE '%B%' AND block_id = last)"
     )
-    outer = materialize(outer.select(*page, "block_id", "line", "role", "side", F.col("word").alias("text")), "outer-lines")
+    sides = F.array(*(F.when(F.contains("side", F.lit(x)) & (F.col("block_id") == F.col(c)), F.lit(x)) for x, c in (("T", "first"), ("B", "last"))))
+    outer = materialize(outer.select(*page, "block_id", "line", sides.alias("sides"), F.col("word").alias("text")), "outer-lines")
     # A line holds few words, so its repairs are a short list.
     repairs = misread.groupBy("document_id", "block_id", F.col("line_no").alias("line")).agg(F.collect_list(F.struct("word", "fix")).alias("_rep"))
-    parts = materialize(_line_parts(outer.filter("role = 'edge'"), repairs), "edges")
+    parts = materialize(_line_parts(outer, repairs), "edges")
     # Printed numbers may be shifted against the page count, by the same amount all over a document.
     shifts = parts.filter("shift IS NOT NULL").groupBy("document_id", "shift").agg(F.count_distinct("page").alias("n"))
     main = materialize(shifts.groupBy("document_id").agg(F.max_by("shift", F.struct("n", -F.abs(F.col("shift")))).alias("main")), "shifts")
     found = materialize(_judged(parts, parts, main, rules), "edge-noise")
 
     # Where all outermost lines of a side are noise, the lines behind them are looked at, as far as noise goes on.
-    at_side = outer.filter("role = 'edge'").select(*page, "block_id", "line", F.explode(F.array(*(F.when(F.contains("side", F.lit(x)), F.lit(x)) for x in "TB"))).alias("side"))
+    at_side = outer.select(*page, "block_id", "line", F.explode("sides").alias("side")).filter("side IS NOT NULL")
     noisy = at_side.join(found.select("document_id", "block_id", F.col("line_no").alias("line")).distinct(), ["document_id", "block_id", "line"])
     behind = noisy.groupBy("document_id", "block_id", "side").agg(F.count_distinct("line").alias("n")).filter(F.col("n") >= rules.edge_lines).drop("n")
-    deep = outer.filter("role = 'deep'").join(behind, ["document_id", "block_id", "side"]).select(*page, "block_id", "side", F.posexplode(F.split("text", "\n")).alias("depth", "text"))
+    deep = looked.filter("role = 'deep'").join(behind, ["document_id", "block_id", "side"]).select(*page, "block_id", "side", F.posexplode(F.split("word", "\n")).alias("depth", "text"))
     deep = deep.withColumn("line", F.substring_index("text", " ", 1).cast("bigint")).withColumn("text", F.expr("substring(text, instr(text, ' ') + 1)"))
     deep = materialize(deep, "deep-lines")
-    more = _line_parts(deep, repairs)
-    judged = materialize(_judged(more, parts.unionByName(more), main, rules), "deep-noise")
+    more = materialize(_line_parts(deep, repairs), "deep-parts")
+    alike = parts.join(more.select("part").distinct(), "part", "left_semi").select(parts.columns)
+    judged = materialize(_judged(more, alike.unionByName(more), main, rules), "deep-noise")
     hit = judged.select("document_id", "block_id", F.col("line_no").alias("line"), F.lit(True).alias("_hit")).distinct()
     stop = deep.join(hit, ["document_id", "block_id", "line"], "left").groupBy("document_id", "block_id", "side").agg(F.min(F.when(F.col("_hit").isNull(), F.col("depth"))).alias("_stop"))
     going = deep.join(stop, ["document_id", "block_id", "side"]).filter("_stop IS NULL OR depth < _stop").select("document_id", "block_id", F.col("line").alias("line_no")).distinct()
