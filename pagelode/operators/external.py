@@ -46,17 +46,20 @@ def said_once(source: str, error: Exception) -> None:
 
 
 def recognized_text(result: object) -> str:
-    """Text of whatever shape an engine answers in: text, dicts with ``text`` or ``rec_texts``, (box, text, score), and lists of these."""
+    """Text of whatever shape an engine answers in: text, dicts with ``text`` or ``rec_texts``, (box, text, score), and lists of these.
+
+    Text is kept as the engine gives it; blank lines of a list are left out.
+    """
     if result is None:
         return ""
     if isinstance(result, str):
-        return result.strip()
+        return result
     if isinstance(result, dict):
         return recognized_text(result.get("text", result.get("rec_texts")))
     if isinstance(result, (list, tuple)):
         if len(result) > 1 and not isinstance(result[0], str) and isinstance(result[1], (str, tuple)):
             return recognized_text(result[1][0] if isinstance(result[1], tuple) else result[1])
-        return "\n".join(t for t in map(recognized_text, result) if t)
+        return "\n".join(t for t in map(recognized_text, result) if t.strip())
     return ""
 
 
