@@ -98,7 +98,7 @@ def boundary_values(domains: DataFrame) -> DataFrame:
     return domains.select("document_id", "scope", "field_name", F.explode(vals).alias("value"))
 
 
-def combination_matrix(values: DataFrame, most: int = 1000) -> DataFrame:
+def combination_matrix(values: DataFrame, most: int = 1000, block_bytes: int = 1 << 24) -> DataFrame:
     """Combinations of field values per scope as maps: (document_id, scope, combo, assignment).
 
     All of them where there are at most ``most`` or no more than a covering set has; else a covering set, in which every
@@ -106,6 +106,9 @@ def combination_matrix(values: DataFrame, most: int = 1000) -> DataFrame:
     names, so no product is built by joins. Covering set: q is the least prime not below the most values of a field, and
     for each digit h of the fields' numbers in base q, row (h, a, b) assigns field i the value a + b * digit mod q; two
     fields differ in some digit, and there the rows run through all pairs.
+
+    A scope's values are never repeated for each of its rows: rows come in blocks of ``block_bytes`` at most, a block has
+    the values once, and equal rows of a covering set are found by the numbers of their values. Scopes are written once.
     """
     per = values.groupBy("document_id", "scope", "field_name").agg(F.array_sort(F.collect_set("value")).alias("vals"))
     scopes = per.groupBy("document_id", "scope").agg(F.array_sort(F.collect_list(F.struct("field_name", "vals"))).alias("fs"))
@@ -113,20 +116,34 @@ def combination_matrix(values: DataFrame, most: int = 1000) -> DataFrame:
     digits = "aggregate(sequence(1, 31), struct(1 AS t, bigint(_q) AS p), (a, x) -> if(a.p >= size(fs), a, struct(a.t + 1 AS t, a.p * _q AS p))).t"
     scopes = scopes.withColumn("_v", F.expr("greatest(2, array_max(transform(fs, f -> size(f.vals))))")).withColumn("_q", F.expr(prime).cast("bigint"))
     scopes = scopes.withColumn("_rows", F.expr(digits) * F.col("_q") * F.col("_q")).withColumn("_most", F.greatest(F.lit(most).cast("bigint"), "_rows"))
-    scopes = scopes.withColumn("_total", F.expr("aggregate(fs, 1L, (a, f) -> least(_most + 1, a * size(f.vals)))"))
-
-    e = scopes.filter("_total <= _most").withColumn("combo", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_total") - 1)))
-    step = F.aggregate(
-        "fs", F.struct(F.col("combo").alias("rest"), F.array().cast("array<struct<key:string,value:string>>").alias("out")),
-        lambda a, f: F.struct(F.floor(a["rest"] / F.size(f["vals"])).alias("rest"), F.concat(a["out"], F.array(F.struct(f["field_name"].alias("key"), F.get(f["vals"], (a["rest"] % F.size(f["vals"])).cast("int")).alias("value")))).alias("out")),
-    )
-    whole = e.select("document_id", "scope", "combo", step["out"].alias("out"))
-
-    c = scopes.filter("_total > _most").withColumn("combo", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_rows") - 1)))
-    c = c.withColumns({"_p": F.expr("bigint(pow(_q, combo div (_q * _q)))"), "_a": F.expr("combo div _q % _q"), "_b": F.expr("combo % _q")})
-    row = "transform(fs, (f, i) -> struct(f.field_name AS key, f.vals[int((_a + _b * (i div _p % _q)) % _q % size(f.vals))] AS value))"
-    cover = c.select("document_id", "scope", "combo", F.expr(row).alias("out")).groupBy("document_id", "scope", "out").agg(F.min("combo").alias("combo"))
-    return whole.unionByName(cover).select("document_id", "scope", "combo", F.map_from_entries("out").alias("assignment"))
+    scopes = scopes.withColumn("_steps", F.expr("aggregate(fs, array(1L), (a, f) -> array_append(a, least(_most + 1, element_at(a, -1) * size(f.vals))))"))
+    scopes = scopes.withColumn("_whole", F.expr("element_at(_steps, -1) <= _most")).withColumn("_n", F.expr("if(_whole, element_at(_steps, -1), _rows)"))
+    scopes = scopes.withColumn("_wide", F.expr("aggregate(fs, 0L, (a, f) -> a + 64 + octet_length(f.field_name) + array_max(transform(f.vals, v -> octet_length(v))))"))
+    scopes = scopes.withColumn("_per", F.greatest(F.lit(1).cast("bigint"), F.expr(f"{block_bytes}L div _wide")))
+    scopes = materialize(scopes.select("document_id", "scope", "fs", "_q", "_steps", "_whole", "_n", "_per"), "combination-scopes")
+
+    numbered = "transform({combos}, n -> struct(n, n div _q % _q AS a, n % _q AS b, bigint(pow(_q, n div (_q * _q))) AS p))"
+    digit = "int((c.a + c.b * (i div c.p % _q)) % _q % {size})"
+    row = "struct({n} AS combo, transform(fs, (f, i) -> struct(f.field_name AS key, f.vals[{at}] AS value)) AS out)"
+    whole = lambda combos: f"transform({combos}, n -> {row.format(n='n', at='int(n div _steps[i] % size(f.vals))')})"
+    cover = f"transform({numbered.format(combos='combos')}, c -> {row.format(n='c.n', at=digit.format(size='size(f.vals)'))})"
+    rows = lambda df, made: df.select("document_id", "scope", F.explode(F.expr(made)).alias("r"))
+    short = "_whole AND _n <= _per"
+    out, long = rows(scopes.filter(short), whole("sequence(0L, _n - 1)")), scopes.filter(f"NOT ({short})")
+    blocks = long.agg(F.sum(F.expr("(_n - 1) div _per + 1"))).first()[0]
+    if blocks:
+        spread = lambda df: df.repartition(1 + blocks // 4, "document_id", "scope", "block")
+        cut = long.select("document_id", "scope", "_q", "_whole", "_n", "_per", F.expr("transform(fs, f -> size(f.vals))").alias("_sizes"), F.explode(F.expr("sequence(0L, (_n - 1) div _per)")).alias("block"))
+        cut = cut.withColumn("combos", F.expr("sequence(block * _per, least(_n, (block + 1) * _per) - 1)"))
+        keys = f"transform({numbered.format(combos='combos')}, c -> struct(c.n AS combo, transform(_sizes, (s, i) -> {digit.format(size='s')}) AS at))"
+        keys = spread(cut.filter("NOT _whole")).select("document_id", "scope", "_per", F.explode(F.expr(keys)).alias("k"))
+        first = keys.groupBy("document_id", "scope", "_per", "k.at").agg(F.min("k.combo").alias("combo"))
+        kept = first.groupBy("document_id", "scope", F.expr("combo div _per").alias("block")).agg(F.collect_list("combo").alias("combos"))
+        # A merge join hands on one block after the other; other joins may hold all blocks of a scope at once, each with the values.
+        named = long.select("document_id", "scope", "fs", "_q", "_steps").hint("merge")
+        joined = lambda df: spread(df.select("document_id", "scope", "block", "combos").join(named, ["document_id", "scope"]))
+        out = out.unionByName(rows(joined(cut.filter("_whole")), whole("combos"))).unionByName(rows(joined(kept), cover))
+    return out.select("document_id", "scope", "r.combo", F.map_from_entries("r.out").alias("assignment"))
 
 
 def checked_values(values: DataFrame, constraints: DataFrame) -> DataFrame:
