@@ -132,7 +132,7 @@ def combination_matrix(values: DataFrame, most: int = 1000, block_bytes: int = 1
     out, long = rows(scopes.filter(short), whole("sequence(0L, _n - 1)")), scopes.filter(f"NOT ({short})")
     blocks = long.agg(F.sum(F.expr("(_n - 1) div _per + 1"))).first()[0]
     if blocks:
-        spread = lambda df: df.repartition(1 + blocks // 4, "document_id", "scope", "block")
+        spread = lambda df: df.repartition(1 + blocks // 8, "document_id", "scope", "block")
         cut = long.select("document_id", "scope", "_q", "_whole", "_n", "_per", F.expr("transform(fs, f -> size(f.vals))").alias("_sizes"), F.explode(F.expr("sequence(0L, (_n - 1) div _per)")).alias("block"))
         cut = cut.withColumn("combos", F.expr("sequence(block * _per, least(_n, (block + 1) * _per) - 1)"))
         keys = f"transform({numbered.format(combos='combos')}, c -> struct(c.n AS combo, transform(_sizes, (s, i) -> {digit.format(size='s')}) AS at))"
